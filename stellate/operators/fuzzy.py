@@ -4,9 +4,12 @@ The best reference value has the highest score, then the highest edit score, the
 
 How it runs: labels are made distinct, equal normalised labels are settled by an equi-join, and the rest are compared
 with the reference list *packed in arrays*, so each task keeps one running best per label and no (label, reference) pair
-ever becomes a row. A short list (the normal case: a few hundred names) is one broadcast array. A longer one is cut into
+ever becomes a row. A short list (the normal case: a few hundred names) is one array. A longer one is cut into
 blocks by length; with a score threshold a label visits only the blocks whose length allows it to reach the threshold by
 edit score, and an equi-join on the rarest words brings in what only the word score can find. Both ways are exact.
+
+The finished label mapping is stored in the shared folder before it meets the long table: it is computed once, its size is
+then known, and a small one is broadcast, so the long table is not shuffled for it.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.similarity import TOKEN_WEIGHT, edit_score, normalise, token_score, tokens
+from ..sources.workspace import store
 from .joins import BROADCAST_BYTES, lookup_join, measure
 
 MAX_PACKED = 2_000
@@ -47,20 +51,15 @@ def _best_in_block(norm: str, words: str, block: str) -> Column:
     return F.array_min(F.transform(F.col(block), lambda r: _candidate(F.col(norm), F.col(words), r)))
 
 
-def _packed(refs: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return refs.groupBy(*keys).agg(F.collect_list(F.struct("value", "norm", "words")).alias("block"))
+def _block() -> Column:
+    return F.collect_list(F.struct("value", "norm", "words"))
 
 
 def _scan_short_list(labels: DataFrame, refs: DataFrame) -> DataFrame:
-    """Compare each unsettled label with the whole list, held as one broadcast array."""
-    packed = _packed(refs.withColumn("block_id", F.lit(0)), ["block_id"])
-    block_id = F.when(F.col("exact").isNull(), F.lit(0)).alias("block_id")
-    return (
-        labels.select("*", block_id)
-        .join(F.broadcast(packed), "block_id", "left")
-        .withColumn("best", _best_in_block("norm", "words", "block"))
-        .drop("block_id", "block")
-    )
+    """Compare each unsettled label with the whole list, which every task holds as one array (a scalar subquery)."""
+    packed = refs.agg(_block()).scalar()
+    best = F.when(F.col("exact").isNull(), _best_in_block("norm", "words", "block"))
+    return labels.withColumn("block", packed).withColumn("best", best).drop("block")
 
 
 def _scan_blocks(labels: DataFrame, refs: DataFrame, n_refs: int, min_score: int | None) -> DataFrame:
@@ -70,7 +69,7 @@ def _scan_blocks(labels: DataFrame, refs: DataFrame, n_refs: int, min_score: int
     blocks = refs.select(
         "*", band.alias("band"), F.pmod(F.xxhash64("norm"), F.lit(parts)).alias("part")
     )
-    packed = _packed(blocks, ["band", "part"])
+    packed = blocks.groupBy("band", "part").agg(_block().alias("block"))
     here = F.length("norm")
     catalogue = blocks.select("band", "part").distinct()
     if min_score:
@@ -118,9 +117,10 @@ def _scan_words(labels: DataFrame, refs: DataFrame, min_score: int) -> DataFrame
     freq = _word_frequencies(refs)
     mine = _rare_first(labels.select("norm", "words"), freq, "norm", min_score)
     theirs = _rare_first(refs.select(F.col("norm").alias("other"), "words"), freq, "other", min_score)
-    smaller_is_mine = F.col("norm_rare") & (F.col("norm_size") <= F.col("other_size"))
-    smaller_is_theirs = F.col("other_rare") & (F.col("other_size") <= F.col("norm_size"))
-    pairs = mine.join(theirs, "word").where(smaller_is_mine | smaller_is_theirs).select("norm", "other").distinct()
+    # Each join has a rare-word side, so a word that a third of all labels share does not pair them all.
+    label_smaller = mine.where("norm_rare").join(theirs, "word").where("norm_size <= other_size")
+    other_smaller = mine.join(theirs.where("other_rare"), "word").where("other_size <= norm_size")
+    pairs = label_smaller.select("norm", "other").union(other_smaller.select("norm", "other")).distinct()
     ref = F.struct("value", F.col("ref_norm").alias("norm"), F.col("ref_words").alias("words"))
     full = refs.select("value", F.col("norm").alias("other"), F.col("norm").alias("ref_norm"), F.col("words").alias("ref_words"))
     return (
@@ -139,37 +139,38 @@ def _scan_long_list(labels: DataFrame, refs: DataFrame, n_refs: int, min_score:
     return labels.join(best, "norm", "left")
 
 
-def label_matches(
+def match_labels(
     labels: DataFrame,
     col: str,
     ref: DataFrame,
     ref_col: str,
     min_score: int | None = 70,
     stop_words: Sequence[str] = (),
+    match: str = "match",
+    score: str = "score",
     max_packed: int = MAX_PACKED,
 ) -> DataFrame:
-    """(label, match, score) for each distinct label that is not null; match and score are null below the threshold."""
+    """Add the nearest reference value and its score to a frame of distinct labels.
+
+    Both are null below the threshold and for a null label. Use ``fuzzy_lookup`` on a table in which labels repeat.
+    """
     if min_score is not None and not 0 < min_score <= 100:
         raise ValueError("min_score must lie in 1..100, or be None for the best match at any score")
     refs = _reference(ref, ref_col, stop_words)
     n_refs, n_bytes = measure(refs)
     short = n_refs <= max_packed and n_bytes <= BROADCAST_BYTES
-    distinct = (
-        labels.select(F.col(col).alias("label")).where(F.col("label").isNotNull()).distinct()
-        .withColumn("norm", normalise("label"))
-        .withColumn("words", tokens("norm", stop_words))
-    )
-    settled = lookup_join(distinct, refs.select("norm", F.col("value").alias("exact")), ["norm"], small=short or None)
+    prepared = labels.withColumn("norm", normalise(col)).withColumn("words", tokens("norm", stop_words))
+    settled = lookup_join(prepared, refs.select("norm", F.col("value").alias("exact")), ["norm"], small=short or None)
     if short:
         scanned = _scan_short_list(settled, refs)
     else:
         scanned = _scan_long_list(settled, refs, n_refs, min_score)
-    score = F.when(F.col("exact").isNotNull(), F.lit(100)).otherwise(-F.col("best.neg_score"))
-    hit = score >= F.lit(min_score or 0)
+    points = F.when(F.col("exact").isNotNull(), F.lit(100)).otherwise(-F.col("best.neg_score"))
+    hit = (points >= F.lit(min_score or 0)) & F.col(col).isNotNull()
     return scanned.select(
-        "label",
-        F.when(hit, F.coalesce("exact", "best.value")).alias("match"),
-        F.when(hit, score).alias("score"),
+        *labels.columns,
+        F.when(hit, F.coalesce("exact", "best.value")).alias(match),
+        F.when(hit, points).alias(score),
     )
 
 
@@ -187,12 +188,10 @@ def fuzzy_lookup(
 ) -> DataFrame:
     """Add the nearest reference value and its score. Below ``min_score`` the match is ``on_miss`` and the score null;
     ``min_score=None`` takes the best value at any score. A null label gets a null match."""
-    found = label_matches(df, col, ref, ref_col, min_score, stop_words, max_packed)
-    found = found.select(
-        F.col("label").alias(col), F.coalesce("match", F.lit(on_miss)).alias(match), F.col("score").alias(score)
-    )
-    # The size of `found` is known only when it has run: Spark chooses the join, and splits hot labels, at run time.
-    return df.join(found, col, "left").select(*df.columns, match, score)
+    labels = df.select(col).where(F.col(col).isNotNull()).distinct()
+    found = match_labels(labels, col, ref, ref_col, min_score, stop_words, match, score, max_packed)
+    mapping = store(found.withColumn(match, F.coalesce(match, F.lit(on_miss))), "labels")
+    return lookup_join(df, mapping, [col]).select(*df.columns, match, score)
 
 
 def resolve_former(df: DataFrame, col: str, former: DataFrame, out: str | None = None) -> DataFrame:

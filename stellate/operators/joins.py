@@ -21,6 +21,8 @@ from .aggregates import dedupe_by_key
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 2_000_000
+HOT_BUCKETS = 1 << 16
+HOT_FACTOR = 4
 MAX_HOT_KEYS = 1_000
 MAX_LITERAL_CODES = 50
 
@@ -46,11 +48,26 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
 def hot_key_hashes(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS) -> list[int]:
     """Hashes of the keys that hold at least ``hot_rows`` rows: the ``max_keys`` most frequent ones at most.
 
+    The first pass counts key hashes in a fixed number of buckets, so every task sends a few short rows and nothing the
+    size of the key column is shuffled. Only the rows of buckets far above the average are counted key by key.
     A key that is not in the list takes the ordinary shuffle join, so the list decides speed and never the result.
     """
+    bucket = F.pmod(key, F.lit(HOT_BUCKETS))
+    sizes = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    total = sizes.agg(F.sum("n")).first()[0] or 0
+    if total < hot_rows:
+        return []
+    full = max(hot_rows, HOT_FACTOR * total // HOT_BUCKETS)
+    buckets = [r.b for r in sizes.where(F.col("n") >= full).orderBy(F.desc("n")).limit(max_keys).collect()]
+    if not buckets:
+        return []
     heavy = (
-        df.groupBy(key.alias("h")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= hot_rows)
-        .orderBy(F.desc("n")).limit(max_keys)
+        df.where(bucket.isin(buckets))
+        .groupBy(key.alias("h"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") >= hot_rows)
+        .orderBy(F.desc("n"))
+        .limit(max_keys)
     )
     return [r.h for r in heavy.collect()]
 

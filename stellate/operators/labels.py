@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_label, override_by_keyword, part_at, remove_tokens, replace_all, strip_blanks, title_case
 from ..plans import fixed_values as fixed
-from .fuzzy import fuzzy_lookup, resolve_former
+from ..sources.workspace import store
+from .fuzzy import match_labels, resolve_former
+from .joins import lookup_join
 
 
 def country_label(c: Column | str) -> Column:
@@ -38,14 +40,15 @@ def standardise_labels(
 ) -> DataFrame:
     """Clean a label, replace a retired name by its current one, then take the nearest reference name.
 
-    All work is done once per distinct label; the long table only takes part in the final join.
+    All work is done once per distinct label; the long table only takes part in the final join with the stored mapping.
     """
-    labels = df.select(F.col(col).alias("__label")).where(F.col("__label").isNotNull()).distinct()
-    cleaned = labels.withColumn("__name", clean(F.col("__label")))
+    labels = df.select(col).where(F.col(col).isNotNull()).distinct()
+    cleaned = labels.withColumn("__name", clean(F.col(col)))
     current = resolve_former(cleaned, "__name", former)
-    matched = fuzzy_lookup(current, "__name", names, name_col, min_score, on_miss, match=out)
-    found = matched.select(F.col("__label").alias(col), out)
-    return df.join(found, col, "left").select(*df.columns, out)
+    found = match_labels(current, "__name", names, name_col, min_score, match=out).select(
+        col, F.coalesce(out, F.lit(on_miss)).alias(out)
+    )
+    return lookup_join(df, store(found, "labels"), [col]).select(*df.columns, out)
 
 
 def format_location(

@@ -57,7 +57,20 @@ def key_report(df: DataFrame, keys: Sequence[str], table: str = "") -> DataFrame
         F.coalesce(F.sum(F.when(~complete, F.col("n"))), F.lit(0)).cast("bigint").alias("not_null"),
         F.count_if(complete & (F.col("n") > 1)).cast("bigint").alias("unique"),
     )
-    rows = counts.unpivot([], ["not_empty", "not_null", "unique"], "check_name", "failed_rows")
+    return _as_report(counts, table, ["not_empty", "not_null", "unique"])
+
+
+def null_report(df: DataFrame, keys: Sequence[str], table: str = "") -> DataFrame:
+    """``not_empty`` and ``not_null`` in one pass without a shuffle of the table."""
+    counts = df.agg(
+        F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("bigint").alias("not_empty"),
+        F.count_if(any_null(keys)).cast("bigint").alias("not_null"),
+    )
+    return _as_report(counts, table, ["not_empty", "not_null"])
+
+
+def _as_report(counts: DataFrame, table: str, checks: Sequence[str]) -> DataFrame:
+    rows = counts.unpivot([], list(checks), "check_name", "failed_rows")
     return rows.select(
         F.lit(table).alias("table_name"), "check_name", "failed_rows", (F.col("failed_rows") == 0).alias("passed")
     )
@@ -80,10 +93,9 @@ def check_exists(spark: SparkSession, path: str, table: str = "") -> DataFrame:
 
 
 def run_checks(spec: Mapping[str, tuple[DataFrame, Sequence[str]]], unique: bool = True) -> DataFrame:
-    """Report over many tables: ``{table name: (frame, key columns)}``."""
-    reports = [key_report(df, keys, name) for name, (df, keys) in spec.items()]
-    report = union_all(*reports)
-    return report if unique else report.where(F.col("check_name") != "unique")
+    """Report over many tables: ``{table name: (frame, key columns)}``, with or without the uniqueness check."""
+    one = key_report if unique else null_report
+    return union_all(*[one(df, keys, name) for name, (df, keys) in spec.items()])
 
 
 def failures(report: DataFrame) -> list[str]:

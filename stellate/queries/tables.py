@@ -219,14 +219,14 @@ _EVENT_PLACE = """CASE event_type WHEN 'click' THEN 'Invalid: ' || n_name WHEN '
 
 
 @query(
-    f"""WITH raw AS (SELECT *, {_EVENT_PLACE} AS country FROM events JOIN nation ON n_nationkey = user_id % 25
-                     WHERE value >= 2),
-        {_standardised_sql('raw', 'country')}
-        SELECT DISTINCT CAST(ts AS DATE) AS date, country_iso3166, 'City ' || user_id AS city, value AS averagetemperature,
-               value / 4 AS averagetemperatureuncertainty, user_id + 0.5 AS latitude,
+    f"""WITH raw AS (SELECT DISTINCT CAST(ts AS DATE) AS date, {_EVENT_PLACE} AS country, 'City ' || user_id AS city,
+               value AS averagetemperature, value / 4 AS averagetemperatureuncertainty,
+               CAST(user_id AS DOUBLE) + 0.5 AS latitude,
                CASE WHEN event_type = 'view' THEN -1.0 ELSE 1.0 END * CAST(user_id AS DOUBLE) AS longitude
-        FROM (SELECT raw.* REPLACE (CAST(user_id AS DOUBLE) AS user_id), CAST(user_id AS VARCHAR) AS u FROM raw) r
-        JOIN std ON r.country = std.label""".replace("'City ' || user_id", "'City ' || u")
+             FROM events JOIN nation ON n_nationkey = user_id % 25 WHERE value >= 2),
+        {_standardised_sql('raw', 'country')}
+        SELECT date, country_iso3166, city, averagetemperature, averagetemperatureuncertainty, latitude, longitude
+        FROM raw JOIN std ON country = label"""
 )
 def temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings from events; small values are missing, every reading occurs twice."""
