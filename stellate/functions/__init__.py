@@ -5,6 +5,7 @@ from .text import (
     clean_label,
     label_is,
     override_by_keyword,
+    parse_number,
     part_at,
     remove_tokens,
     replace_all,
@@ -24,6 +25,7 @@ __all__ = [
     "normalise",
     "override_by_keyword",
     "parse_hemisphere",
+    "parse_number",
     "part_at",
     "remove_tokens",
     "replace_all",

@@ -20,6 +20,18 @@ def strip_blanks(c: Column | str) -> Column:
     return F.btrim(as_col(c), F.lit(BLANKS))
 
 
+def parse_number(c: Column | str, type_: str = "double") -> Column:
+    """Text -> number; null where the text is no number.
+
+    ``try_cast`` alone does the same but throws and catches an exception per bad value, which costs many times the
+    parsing; texts that cannot be numbers are therefore sorted out by pattern first.
+    """
+    c = as_col(c)
+    whole = type_ in ("tinyint", "smallint", "int", "integer", "bigint", "long")
+    pattern = r"^[\s\p{Cntrl}]*[+-]?\d+[\s\p{Cntrl}]*$" if whole else r"^[\s\p{Cntrl}]*[+-]?(\d|\.\d|[iInN])"
+    return F.when(c.rlike(pattern), c.try_cast(type_))
+
+
 def strip_chars(c: Column | str, chars: str = ' "') -> Column:
     """Remove every occurrence of the given characters, wherever they stand."""
     return F.translate(as_col(c), chars, "")

@@ -3,22 +3,42 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.readers import read_table
 from ..sources.sinks import publish
+from ..sources.workspace import store
 from .aggregates import dedupe_by_key, union_all
-from .joins import lookup_join
+from .joins import is_small, lookup_join
 from .quality import table_exists
 
+MAX_LITERAL_PARTITIONS = 500
+
 
 def pending(candidates: DataFrame, published: DataFrame, on: Sequence[str], small: bool | None = None) -> DataFrame:
     """Candidate rows whose key is not yet published."""
     return lookup_join(candidates, published.select(*on).distinct(), on, "left_anti", small)
 
 
+def partitions_of(df: DataFrame, partition_by: Sequence[str], old: DataFrame) -> DataFrame:
+    """The rows of ``old`` in the partitions that occur in ``df``; a null counts as a value.
+
+    Up to ``MAX_LITERAL_PARTITIONS`` partitions become literals, so the scan lists those directories only.
+    """
+    touched = df.select(*partition_by).distinct()
+    values = touched.limit(MAX_LITERAL_PARTITIONS + 1).collect()
+    if not values:
+        return old.limit(0)
+    if len(values) <= MAX_LITERAL_PARTITIONS:
+        one = lambda r: reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(r[c])) for c in partition_by])
+        return old.where(reduce(lambda a, b: a | b, map(one, values)))
+    same = [old[c].eqNullSafe(touched[c]) for c in partition_by]
+    return old.join(F.broadcast(touched) if is_small(touched) else touched, same, "left_semi")
+
+
 def merge_with_published(
     df: DataFrame, path: str, partition_by: Sequence[str], key: Sequence[str], order_by: Sequence[Column | str]
 ) -> DataFrame:
@@ -26,11 +46,11 @@ def merge_with_published(
 
     Only the partitions that occur in the batch are read.
     """
-    touched = df.select(*partition_by).distinct()
-    old = read_table(df.sparkSession, path)
-    same = [old[c].eqNullSafe(touched[c]) for c in partition_by]
-    kept = old.join(touched, same, "left_semi").select(*df.columns).withColumn("__age", F.lit(1))
-    both = union_all(df.withColumn("__age", F.lit(0)), kept)
+    if not table_exists(df.sparkSession, path):
+        return dedupe_by_key(df, key, order_by)
+    df = store(df, "batch")
+    kept = partitions_of(df, partition_by, read_table(df.sparkSession, path)).select(*df.columns)
+    both = union_all(df.withColumn("__age", F.lit(0)), kept.withColumn("__age", F.lit(1)))
     return dedupe_by_key(both, key, ["__age", *order_by]).drop("__age")
 
 
@@ -44,9 +64,11 @@ def publish_incremental(
 ) -> None:
     """Publish whole partitions (months): those in the batch are replaced, all others stay, so a repeat adds nothing.
 
-    With a ``key`` a month may arrive in pieces: the batch is merged with the published month first. Old files are
-    removed only when the new ones are complete, so a job that dies can be run again.
+    With a ``key`` a month may arrive in pieces: the batch is stored, merged with the published month, and one row per
+    key is kept, the first in ``order_by`` (default: by all other columns). Old files are removed only when the new ones
+    are complete, so a job that dies can be run again.
     """
-    if key and table_exists(df.sparkSession, path):
-        df = merge_with_published(df, path, partition_by, key, order_by or [c for c in df.columns if c not in key])
+    if key:
+        order = order_by or [c for c in df.columns if c not in key]
+        df = merge_with_published(df, path, partition_by, key, order)
     publish(df, path, mode="overwrite", partition_by=partition_by, dynamic=True, **options)

@@ -53,16 +53,13 @@ def hot_key_hashes(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS, max_key
     A key that is not in the list takes the ordinary shuffle join, so the list decides speed and never the result.
     """
     bucket = F.pmod(key, F.lit(HOT_BUCKETS))
-    sizes = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    if total < hot_rows:
-        return []
-    full = max(hot_rows, HOT_FACTOR * total // HOT_BUCKETS)
-    buckets = [r.b for r in sizes.where(F.col("n") >= full).orderBy(F.desc("n")).limit(max_keys).collect()]
+    sizes = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()  # HOT_BUCKETS rows at most
+    full = max(hot_rows, HOT_FACTOR * sum(r.n for r in sizes) // HOT_BUCKETS)
+    buckets = sorted((-r.n, r.b) for r in sizes if r.n >= full)[:max_keys]
     if not buckets:
         return []
     heavy = (
-        df.where(bucket.isin(buckets))
+        df.where(bucket.isin([b for _, b in buckets]))
         .groupBy(key.alias("h"))
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= hot_rows)
@@ -78,16 +75,17 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     small: bool | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Join a long table to a reference table on equally named columns (``left``, ``inner``, ``left_semi`` or
-    ``left_anti``). ``small`` skips the measuring of the right side."""
+    ``left_anti``). ``small`` skips the measuring of the right side; ``hot_rows=None`` skips the search for hot keys and
+    leaves skew to Spark's adaptive execution."""
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     on = list(on)
     if is_small(right) if small is None else small:
         return left.join(F.broadcast(right), on, how)
-    if left.isStreaming:
+    if left.isStreaming or hot_rows is None:
         return left.join(right, on, how)
     left_types, right_types = dict(left.dtypes), dict(right.dtypes)
     if any(left_types[c] != right_types[c] or left_types[c] in ("float", "double") for c in on):

@@ -6,9 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StringType
 
-from ..functions.text import strip_chars
+from ..functions.text import parse_number, strip_chars
+
+NUMERIC = ("tinyint", "smallint", "int", "integer", "bigint", "long", "float", "double")
 
 # Characters that a stored column name may not hold.
 DROPPED_FROM_NAMES = ",;{}()\n\t="
@@ -42,14 +44,22 @@ def cast_columns(df: DataFrame, names: Sequence[str], type_: DataType | str, on_
     """Cast many columns to one type. ``on_error``: ``null`` for a null in place of bad values, ``fail`` to raise."""
     if on_error not in ("null", "fail"):
         raise ValueError(f"on_error must be 'null' or 'fail', not {on_error!r}")
-    cast = Column.try_cast if on_error == "null" else Column.cast
-    return df.withColumns({n: cast(F.col(f"`{n}`"), type_) for n in names})
+    texts = {f.name for f in df.schema if isinstance(f.dataType, StringType)}
+
+    def cast(name: str) -> Column:
+        c = F.col(f"`{name}`")
+        if on_error == "fail":
+            return c.cast(type_)
+        numeric = type_ if isinstance(type_, str) else type_.simpleString()
+        return parse_number(c, numeric) if name in texts and numeric in NUMERIC else c.try_cast(type_)
+
+    return df.withColumns({n: cast(n) for n in names})
 
 
 def strip_and_cast(df: DataFrame, names: Sequence[str], chars: str = ' "', type_: str | None = None) -> DataFrame:
-    """Remove stray characters from text columns and cast the rest where a type is given."""
+    """Remove stray characters from text columns; with a numeric type, turn what is left into numbers."""
     stripped = {n: strip_chars(F.col(f"`{n}`"), chars) for n in names}
-    return df.withColumns({n: c.try_cast(type_) if type_ else c for n, c in stripped.items()})
+    return df.withColumns({n: parse_number(c, type_) if type_ else c for n, c in stripped.items()})
 
 
 def first_non_null(*cols: Column | str) -> Column:

@@ -92,7 +92,6 @@ def build_dimensions(spark: SparkSession, inputs: Inputs, out: str) -> None:
         temperatures(measured, names, former),
         f"{out}/temperatures",
         partition_by=["country_iso3166"],
-        cluster_by=["country_iso3166"],
         sort_within=["date", "city"],
     )
     publish_reference(
@@ -134,7 +133,7 @@ def build_arrivals(spark: SparkSession, inputs: Inputs, out: str) -> list[str]:
     for batch in done:
         landed = land(read_any(spark, inputs.arrivals[batch]), f"{out}/landed/arrivals", batch)
         publish_incremental(
-            arrivals(landed, modes, visas), f"{out}/arrivals", MONTH, key=fixed.ARRIVAL_KEY, cluster_by=MONTH
+            arrivals(landed, modes, visas), f"{out}/arrivals", MONTH, key=fixed.ARRIVAL_KEY
         )
         publish(spark.createDataFrame([(batch,)], "batch string"), f"{out}/landed/arrivals_log", mode="append")
     return done
@@ -142,7 +141,7 @@ def build_arrivals(spark: SparkSession, inputs: Inputs, out: str) -> list[str]:
 
 def build_time(spark: SparkSession, out: str) -> None:
     """Time dimension of the whole fact, replaced month by month."""
-    publish_incremental(time_dimension(read_table(spark, f"{out}/arrivals")), f"{out}/time", MONTH, cluster_by=MONTH)
+    publish_incremental(time_dimension(read_table(spark, f"{out}/arrivals")), f"{out}/time", MONTH)
 
 
 def check_warehouse(spark: SparkSession, out: str, tables: Mapping[str, Sequence[str]] = fixed.TABLE_KEYS) -> list[str]:

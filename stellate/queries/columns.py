@@ -172,7 +172,8 @@ def replace_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """SELECT p_partkey AS code, upper(p_name) || ' = ' || p_brand AS label,
-              chr(9) || '''' || upper(p_name) || ' = ' || p_brand || '   ''' AS raw_label FROM part"""
+              chr(9) || '''' || upper(p_name) || ' = ' || p_brand || '   ''' AS raw_label FROM part""",
+    name="parse_dictionary",
 )
 def parse_dictionary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.expr(r"""concat("'", p_partkey, "'\t=\t'", upper(p_name), " = ", p_brand, "   '")""")

@@ -108,7 +108,8 @@ def lookup_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT s_suppkey, CASE WHEN r_name = 'AMERICA' THEN city || ', ' || n_nationkey ELSE city || ', ' || n_name END
          AS location
        FROM (SELECT *, CASE WHEN s_acctbal > 1000 THEN s_name END AS city FROM supplier) LEFT JOIN nation
-         ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"""
+         ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
+    name="location_label",
 )
 def location_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """City and state at home (one region), city and country elsewhere; a missing city gives null."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.aggregates import union_all
 from ..operators.incremental import pending, publish_incremental
 from ..sources import readers, sinks
 from ..sources.workspace import new_dir
@@ -26,9 +27,7 @@ def _totals(df: DataFrame) -> DataFrame:
 @query(f"SELECT {YEAR_MONTH}, {_TOTALS} FROM orders GROUP BY ALL")
 def partition_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_dir(spark, "orders")
-    sinks.publish(
-        dated_orders(spark, sf_dir), path, partition_by=MONTH, cluster_by=MONTH, sort_within=["arrival_date"]
-    )
+    sinks.publish(dated_orders(spark, sf_dir), path, partition_by=MONTH, sort_within=["arrival_date"])
     return _totals(readers.read_table(spark, path))
 
 
@@ -36,7 +35,7 @@ def partition_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partition_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A year below the table root, with its partition columns kept."""
     path = new_dir(spark, "orders")
-    sinks.publish(dated_orders(spark, sf_dir), path, partition_by=MONTH, cluster_by=MONTH)
+    sinks.publish(dated_orders(spark, sf_dir), path, partition_by=MONTH)
     return _totals(readers.read_table(spark, f"{path}/year=1997", base_path=path))
 
 
@@ -45,8 +44,8 @@ def publish_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publishing the same months again changes nothing."""
     path = new_dir(spark, "orders")
     orders = dated_orders(spark, sf_dir)
-    publish_incremental(orders, path, MONTH, cluster_by=MONTH)
-    publish_incremental(orders, path, MONTH, cluster_by=MONTH)
+    publish_incremental(orders, path, MONTH)
+    publish_incremental(orders, path, MONTH)
     return _totals(readers.read_table(spark, path))
 
 
@@ -57,14 +56,15 @@ def publish_in_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = dated_orders(spark, sf_dir)
     for statuses in (["O"], ["F", "P"], ["O"]):
         piece = orders.where(F.col("o_orderstatus").isin(statuses))
-        publish_incremental(piece, path, MONTH, key=["o_orderkey"], cluster_by=MONTH)
+        publish_incremental(piece, path, MONTH, key=["o_orderkey"])
     return _totals(readers.read_table(spark, path))
 
 
 @query(
     f"""SELECT o_orderkey, {YEAR_MONTH} FROM orders ANTI JOIN (SELECT DISTINCT year(l_shipdate) AS y,
         month(l_shipdate) AS m FROM lineitem WHERE year(l_shipdate) < 2000) ON year(o_orderdate) = y
-        AND month(o_orderdate) = m"""
+        AND month(o_orderdate) = m""",
+    name="pending_files",
 )
 def pending_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of months that no line published before 2000 covers."""
@@ -75,7 +75,7 @@ def pending_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending(candidates, published.where("year < 2000"), MONTH).select("o_orderkey", "year", "month")
 
 
-@query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
+@query("SELECT event_id, ts, user_id, event_type, value, props FROM events", name="stream_files")
 def stream_files_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over the same files; the second finds nothing new."""
     dst, checkpoint = new_dir(spark, "events"), new_dir(spark, "events-checkpoint")
@@ -125,15 +125,19 @@ def scan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.parse_dictionary(readers.read_any(spark, path), key_type="bigint")
 
 
-@query("SELECT s_suppkey AS supplier_key, s_name AS supplier_name FROM supplier WHERE s_nationkey >= 10")
+@query(
+    """SELECT s_suppkey AS supplier_key, s_name AS supplier_name,
+              CASE WHEN s_nationkey < 10 THEN 'first' ELSE 'second' END AS batch FROM supplier"""
+)
 def land_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing a second batch returns that batch only; the first one stays where it is."""
+    """Two batches land next to each other; each landing returns its own batch only."""
     target = new_dir(spark, "supplier")
     raw = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("Supplier Key"), F.col("s_name").alias("Supplier Name"), "s_nationkey"
     )
-    sinks.land(raw.where("s_nationkey < 10").drop("s_nationkey"), target, batch="first")
-    return sinks.land(raw.where("s_nationkey >= 10").drop("s_nationkey"), target, batch="second")
+    first = sinks.land(raw.where("s_nationkey < 10").drop("s_nationkey"), target, batch="first")
+    second = sinks.land(raw.where("s_nationkey >= 10").drop("s_nationkey"), target, batch="second")
+    return union_all(first.withColumn("batch", F.lit("first")), second.withColumn("batch", F.lit("second")))
 
 
 @query("SELECT DISTINCT p_name FROM part")

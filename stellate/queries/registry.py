@@ -13,15 +13,16 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its own name, with its SQL twin."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function, under its own name by default, with its SQL twin."""
 
     def register(fn: Query) -> Query:
-        if fn.__name__ in QUERIES:
-            raise ValueError(f"query {fn.__name__} is registered twice")
-        QUERIES[fn.__name__] = fn
+        key = name or fn.__name__
+        if key in QUERIES:
+            raise ValueError(f"query {key} is registered twice")
+        QUERIES[key] = fn
         if sql is not None:
-            SQL[fn.__name__] = sql
+            SQL[key] = sql
         return fn
 
     return register

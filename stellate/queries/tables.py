@@ -223,16 +223,18 @@ _EVENT_PLACE = """CASE event_type WHEN 'click' THEN 'Invalid: ' || n_name WHEN '
                value AS averagetemperature, value / 4 AS averagetemperatureuncertainty,
                CAST(user_id AS DOUBLE) + 0.5 AS latitude,
                CASE WHEN event_type = 'view' THEN -1.0 ELSE 1.0 END * CAST(user_id AS DOUBLE) AS longitude
-             FROM events JOIN nation ON n_nationkey = user_id % 25 WHERE value >= 2),
+             FROM events LEFT JOIN customer ON user_id = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+             WHERE value >= 2),
         {_standardised_sql('raw', 'country')}
         SELECT date, country_iso3166, city, averagetemperature, averagetemperatureuncertainty, latitude, longitude
-        FROM raw JOIN std ON country = label"""
+        FROM raw LEFT JOIN std ON country = label"""
 )
 def temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings from events; small values are missing, every reading occurs twice."""
     raw = (
         table(spark, sf_dir, "events")
-        .join(table(spark, sf_dir, "nation"), F.expr("n_nationkey = user_id % 25"))
+        .join(table(spark, sf_dir, "customer"), F.expr("user_id = c_custkey"), "left")
+        .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"), "left")
         .selectExpr(
             "CAST(ts AS STRING) AS dt",
             "CASE WHEN value >= 2 THEN value END AS AverageTemperature",
@@ -363,7 +365,7 @@ def _arrivals_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(o_orderkey AS DOUBLE) AS cicid",
         "CAST(year AS DOUBLE) AS i94yr",
         "CAST(month AS DOUBLE) AS i94mon",
-        "CAST(1900 + o_custkey % 100 AS STRING) AS biryear",
+        "CAST(year - 30 AS STRING) AS biryear",
         "nullif(o_orderstatus, 'P') AS gender",
         "CAST(o_custkey AS DOUBLE) AS i94res",
         "CASE WHEN o_orderstatus <> 'F' THEN CAST(o_custkey AS DOUBLE) END AS i94cit",
@@ -381,7 +383,7 @@ def _arrivals_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _arrivals_sql(missing: str) -> str:
     return f"""SELECT CAST(o_orderkey AS INTEGER) AS cicid, {YEAR_MONTH},
-          CAST(1900 + o_custkey % 100 AS INTEGER) AS birth_year, nullif(o_orderstatus, 'P') AS gender,
+          CAST(year(o_orderdate) - 30 AS INTEGER) AS birth_year, nullif(o_orderstatus, 'P') AS gender,
           CAST(o_custkey AS INTEGER) AS residence_country,
           CASE WHEN o_orderstatus <> 'F' THEN CAST(o_custkey AS INTEGER) END AS citizenship_country,
           substr(o_orderpriority, 3, 3) AS port_of_entry, o_orderpriority AS airline,

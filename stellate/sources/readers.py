@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.text import BLANKS, strip_blanks
+from ..functions.text import BLANKS, parse_number, strip_blanks
 
 # Format by file extension. The last two need a third-party data source on the cluster.
 FORMATS = {
@@ -72,8 +72,8 @@ def parse_dictionary(
     """
     parts = F.split(line_col, "=", 2)
     bare = lambda c: strip_blanks(F.translate(c, "'", ""))
-    raw_label = F.get(parts, F.lit(1))
+    code, raw_label = bare(F.get(parts, F.lit(0))), F.get(parts, F.lit(1))
     return lines.where(F.btrim(line_col, F.lit(BLANKS)) != "").select(
-        bare(F.get(parts, F.lit(0))).try_cast(key_type).alias(key),
+        (code if key_type == "string" else parse_number(code, key_type)).alias(key),
         (bare(raw_label) if strip_label else raw_label).alias(label),
     )

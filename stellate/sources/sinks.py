@@ -16,15 +16,16 @@ def publish(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     n_files: int | None = None,
-    cluster_by: Sequence[str] = (),
+    cluster_by: Sequence[str] | None = None,
     sort_within: Sequence[str] = (),
     max_records_per_file: int | None = None,
     dynamic: bool = False,
 ) -> None:
     """Write a table as Parquet.
 
-    * ``cluster_by`` brings equal values together before the write. It is a *rebalance*: Spark cuts a group that is
-      too big for one task into several and packs small ones together, so file sizes stay even under skew.
+    * ``cluster_by`` brings equal values together before the write; by default those of ``partition_by``, so that not
+      every task writes into every directory. It is a *rebalance*: Spark cuts a group that is too big for one task into
+      several and packs small ones together, so file sizes stay even under skew. ``()`` writes rows where they are.
     * ``n_files`` spreads rows round-robin over that many tasks. One file suits reference tables only.
     * ``sort_within`` sorts inside each file, after the rows were placed. No global order is promised.
     * ``dynamic`` replaces only the partitions that occur in ``df``.
@@ -33,8 +34,8 @@ def publish(
         raise ValueError("choose n_files or cluster_by")
     if n_files:
         df = df.repartition(n_files)
-    elif cluster_by:
-        df = df.hint("rebalance", *cluster_by)
+    elif clusters := list(partition_by if cluster_by is None else cluster_by):
+        df = df.hint("rebalance", *clusters)
     if sort_within:
         df = df.sortWithinPartitions(*partition_by, *sort_within)
     writer = df.write.mode(mode)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from stellate.operators import aggregates as agg
 from stellate.operators import joins
+from stellate.operators.fuzzy import match_labels
 from stellate.sources import readers, sinks
 
 SF = "/root/testdata/sf0.001"
@@ -56,3 +57,11 @@ def test_copies_collapse_before_the_shuffle(spark):
 def test_top_rows_need_no_sort(spark):
     df = spark.read.parquet(f"{SF}/orders.parquet")
     assert "TakeOrderedAndProject" in plan(agg.first_rows(df, 5, ["o_orderkey"]))
+
+
+@pytest.mark.parametrize("max_packed", [2_000, 0], ids=["short", "long"])
+def test_label_matching_makes_no_cross_join(spark, max_packed):
+    names = spark.read.parquet(f"{SF}/part.parquet").select("p_name").distinct()
+    text = plan(match_labels(names, "p_name", names, "p_name", 70, max_packed=max_packed))
+    for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in text

@@ -5,7 +5,8 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
-from stellate.operators.incremental import pending, publish_incremental
+from stellate.operators import incremental
+from stellate.operators.incremental import partitions_of, pending, publish_incremental
 from stellate.sources import readers, sinks, workspace
 from stellate.streaming import stream_files
 
@@ -136,3 +137,29 @@ def test_stream_merges_repeated_records(spark, tmp_path):
         stream_files(spark, batch.schema, src, dst, check, partition_by=MONTH, key=key)
     rows = {r.cicid: r.note for r in readers.read_table(spark, dst).collect()}
     assert rows == {1: "first", 2: "second", 3: "second"}
+
+
+def test_first_batch_is_deduped_on_the_key(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    batch = month(spark, 1, [1, 1, 2], "b").unionByName(month(spark, 1, [2], "a"))
+    publish_incremental(batch, path, MONTH, key=["cicid", "year", "month"])
+    assert {r.cicid: r.note for r in readers.read_table(spark, path).collect()} == {1: "b", 2: "a"}
+
+
+def test_merge_lists_only_the_partitions_of_the_batch(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    for m in (1, 2, 3):
+        publish_incremental(month(spark, m, [1]), path, MONTH)
+    old = partitions_of(month(spark, 2, [9]), MONTH, readers.read_table(spark, path))
+    assert [r.month for r in old.collect()] == [2]
+    assert "PartitionFilters: [(year" in old._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_partitions_are_joined(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "MAX_LITERAL_PARTITIONS", 1)
+    path = str(tmp_path / "fact")
+    for m in (1, 2, None):
+        publish_incremental(month(spark, m, [1]), path, MONTH)
+    batch = month(spark, 2, [9]).unionByName(month(spark, None, [9]))
+    old = partitions_of(batch, MONTH, readers.read_table(spark, path))
+    assert {r.month for r in old.collect()} == {2, None}
