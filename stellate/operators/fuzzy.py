@@ -40,52 +40,88 @@ def _reference(ref: DataFrame, ref_col: str, stop_words: Sequence[str]) -> DataF
     )
 
 
-def _candidate(norm: Column, words: Column, ref: Column) -> Column:
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Even out over ``spark.sql.shuffle.partitions`` tasks. The rows are few but each costs much work, so partitions must
+    not be merged by size as Spark would do after an ordinary shuffle."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
+def _block() -> Column:
+    return F.collect_list(F.struct("value", "norm", "words", F.length("norm").alias("len")))
+
+
+def _candidate(edit: Column, word: Column, value: Column) -> Column:
     """Sortable candidate: the smallest struct is the best one."""
-    edit = edit_score(norm, ref["norm"])
-    score = F.greatest(edit, token_score(words, ref["words"]))
-    return F.struct((-score).alias("neg_score"), (-edit).alias("neg_edit"), ref["value"].alias("value"))
+    return F.struct((-F.greatest(edit, word)).alias("neg_score"), (-edit).alias("neg_edit"), value.alias("value"))
 
 
-def _best_in_block(norm: str, words: str, block: str) -> Column:
-    return F.array_min(F.transform(F.col(block), lambda r: _candidate(F.col(norm), F.col(words), r)))
+def _edit_reaches(ref: Column, floor: Column) -> Column:
+    """True where the edit score is at least ``floor``: the distance search stops where it cannot be reached any more."""
+    longest = F.greatest(F.col("len"), ref["len"])
+    allowed = F.floor(longest * (100 - floor) / 100).cast("int")
+    close = F.call_function("levenshtein", F.col("norm"), ref["norm"], allowed) >= 0
+    return (F.abs(F.col("len") - ref["len"]) <= allowed) & close
 
 
-def _block() -> Column:
-    return F.collect_list(F.struct("value", "norm", "words"))
+def _with_best(labels: DataFrame, min_score: int | None, edit_only: bool = False) -> DataFrame:
+    """Reduce each label's ``block`` to its ``best`` candidate.
+
+    A cheap pass first finds what the words alone score. Only references that can equal that (or the threshold) by edit
+    score are measured in full. ``edit_only`` leaves out those that reach the threshold by words alone.
+    """
+    labels = labels.withColumn("len", F.length("norm"))
+    if edit_only:
+        kept = F.filter("block", lambda r: _edit_reaches(r, F.lit(min_score)))
+        word = lambda r: token_score(F.col("words"), r["words"])
+        labels = labels.withColumn("kept", F.transform(kept, lambda r: r.withField("word", word(r))))
+    else:
+        with_word = lambda r: F.struct(
+            r["value"].alias("value"),
+            r["norm"].alias("norm"),
+            r["len"].alias("len"),
+            token_score(F.col("words"), r["words"]).alias("word"),
+        )
+        labels = labels.withColumn("block", F.transform("block", with_word))
+        by_words = F.array_max(F.transform("block", lambda r: r["word"]))
+        labels = labels.withColumn("floor", F.greatest(by_words, F.lit(min_score or 0)))
+        reaches = lambda r: (r["word"] >= F.col("floor")) | _edit_reaches(r, F.col("floor"))
+        labels = labels.withColumn("kept", F.filter("block", reaches))
+    measured = F.transform(
+        "kept", lambda r: F.struct(edit_score(F.col("norm"), r["norm"]).alias("edit"), r["word"].alias("word"), r["value"].alias("value"))
+    )
+    best = F.array_min(F.transform(measured, lambda c: _candidate(c["edit"], c["word"], c["value"])))
+    return labels.withColumn("best", best).drop("block", "kept", "floor", "len")
 
 
-def _scan_short_list(labels: DataFrame, refs: DataFrame) -> DataFrame:
+def _scan_short_list(labels: DataFrame, refs: DataFrame, min_score: int | None) -> DataFrame:
     """Compare each unsettled label with the whole list, which every task holds as one array (a scalar subquery)."""
     packed = refs.agg(_block()).scalar()
-    best = F.when(F.col("exact").isNull(), _best_in_block("norm", "words", "block"))
-    return labels.withColumn("block", packed).withColumn("best", best).drop("block")
+    return _with_best(
+        _spread(labels, "norm").withColumn("block", F.when(F.col("exact").isNull(), packed)), min_score
+    )
 
 
 def _scan_blocks(labels: DataFrame, refs: DataFrame, n_refs: int, min_score: int | None) -> DataFrame:
     """(norm, best) over the blocks that a label has to visit; labels and blocks are spread by salts."""
     parts = max(1, -(-n_refs // BLOCK_ROWS))
     band = F.floor(F.length("norm") / LENGTH_STEP).cast("int")
-    blocks = refs.select(
-        "*", band.alias("band"), F.pmod(F.xxhash64("norm"), F.lit(parts)).alias("part")
-    )
+    blocks = refs.select("*", band.alias("band"), F.pmod(F.xxhash64("norm"), F.lit(parts)).alias("part"))
     packed = blocks.groupBy("band", "part").agg(_block().alias("block"))
     here = F.length("norm")
     catalogue = blocks.select("band", "part").distinct()
     if min_score:
-        low = F.floor(F.ceil(here * min_score / 100) / LENGTH_STEP)
-        high = F.floor(F.floor(here * 100 / min_score) / LENGTH_STEP)
-        visits = labels.select("norm", "words", F.explode(F.sequence(low.cast("int"), high.cast("int"))).alias("band"))
+        low = F.floor(F.ceil(here * min_score / 100) / LENGTH_STEP).cast("int")
+        high = F.floor(F.floor(here * 100 / min_score) / LENGTH_STEP).cast("int")
     else:
-        longest = refs.agg(F.max(band)).first()[0] or 0
-        visits = labels.select("norm", "words", F.explode(F.sequence(F.lit(0), F.lit(longest))).alias("band"))
-    # The catalogue of blocks has one short row per block: n_refs / BLOCK_ROWS rows per length band at most.
+        low, high = F.lit(0), F.lit(refs.agg(F.max(band)).first()[0] or 0)
+    visits = labels.select("norm", "words", F.explode(F.sequence(low, high)).alias("band"))
+    # The catalogue has one short row per block: n_refs / BLOCK_ROWS rows per length band at most.
     visits = lookup_join(visits, catalogue, ["band"], "inner")
     salted = visits.withColumn("salt", F.pmod(F.xxhash64("norm"), F.lit(LABEL_SALTS)).cast("int"))
-    spread = packed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1))))
-    return salted.join(spread, ["band", "part", "salt"]).select(
-        "norm", _best_in_block("norm", "words", "block").alias("best")
-    )
+    copies = packed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1))))
+    keys = ["band", "part", "salt"]
+    met = _spread(salted, *keys).join(_spread(copies, *keys), keys)
+    return _with_best(met, min_score, edit_only=bool(min_score)).where(F.col("best").isNotNull()).select("norm", "best")
 
 
 def _word_frequencies(refs: DataFrame) -> DataFrame:
@@ -121,12 +157,15 @@ def _scan_words(labels: DataFrame, refs: DataFrame, min_score: int) -> DataFrame
     label_smaller = mine.where("norm_rare").join(theirs, "word").where("norm_size <= other_size")
     other_smaller = mine.join(theirs.where("other_rare"), "word").where("other_size <= norm_size")
     pairs = label_smaller.select("norm", "other").union(other_smaller.select("norm", "other")).distinct()
-    ref = F.struct("value", F.col("ref_norm").alias("norm"), F.col("ref_words").alias("words"))
-    full = refs.select("value", F.col("norm").alias("other"), F.col("norm").alias("ref_norm"), F.col("words").alias("ref_words"))
+    mine_full = labels.select("norm", "words")
+    theirs_full = refs.select("value", F.col("norm").alias("other"), F.col("words").alias("other_words"))
+    edit = edit_score(F.col("norm"), F.col("other"))
+    word = token_score(F.col("words"), F.col("other_words"))
     return (
-        pairs.join(labels.select("norm", "words"), "norm")
-        .join(full, "other")
-        .select("norm", _candidate(F.col("norm"), F.col("words"), ref).alias("best"))
+        pairs.join(mine_full, "norm")
+        .join(theirs_full, "other")
+        .select("norm", edit.alias("edit"), word.alias("word"), "value")
+        .select("norm", _candidate(F.col("edit"), F.col("word"), F.col("value")).alias("best"))
     )
 
 
@@ -162,7 +201,7 @@ def match_labels(
     prepared = labels.withColumn("norm", normalise(col)).withColumn("words", tokens("norm", stop_words))
     settled = lookup_join(prepared, refs.select("norm", F.col("value").alias("exact")), ["norm"], small=short or None)
     if short:
-        scanned = _scan_short_list(settled, refs)
+        scanned = _scan_short_list(settled, refs, min_score)
     else:
         scanned = _scan_long_list(settled, refs, n_refs, min_score)
     points = F.when(F.col("exact").isNotNull(), F.lit(100)).otherwise(-F.col("best.neg_score"))

@@ -27,20 +27,19 @@ def stream_files(
     """Publish the files that arrived in ``src`` since the last run, then stop.
 
     The checkpoint remembers finished files, so a run without new files adds nothing and a run that died is resumed.
-    Without ``key`` rows are appended by the file sink, exactly once. With it, each batch is merged into the published
-    partitions (see ``publish_incremental``), so records that arrive again replace their earlier version.
+    Without ``key`` rows are appended by the file sink, exactly once, and ``transform`` must treat each row by itself.
+    With it, each batch is transformed as an ordinary table (duplicate removal and lookups included) and merged into the
+    published partitions (see ``publish_incremental``), so records that arrive again replace their earlier version.
     """
     reader = spark.readStream.format(fmt).schema(schema).options(**options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    df = reader.load(src)
-    if transform:
-        df = transform(df)
-    writer = df.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
+    transform = transform or (lambda df: df)
+    rows = reader.load(src) if key else transform(reader.load(src))
+    writer = rows.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint)
     if key:
-        query = writer.foreachBatch(
-            lambda batch, _: publish_incremental(batch, dst, partition_by, key, order_by)
-        ).start()
+        merge = lambda batch, _: publish_incremental(transform(batch), dst, partition_by, key, order_by)
+        query = writer.foreachBatch(merge).start()
     else:
         writer = writer.format("parquet").outputMode("append").option("path", dst)
         query = (writer.partitionBy(*partition_by) if partition_by else writer).start()

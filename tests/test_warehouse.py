@@ -9,6 +9,7 @@ from stellate.plans import arrivals as arr
 from stellate.plans import fixed_values as fixed
 from stellate.plans.warehouse import Inputs, build_warehouse, check_warehouse, fact_view, pending_inputs
 from stellate.sources.readers import read_table
+from stellate.streaming import stream_files
 
 FILES = {
     "states.csv": "stusab;name;centlat;centlon;extra\nCA;California;37.2;-119.3;x\nCA;California;37.2;-119.3;y\nNY;New York;42.9;-75.6;z\n",
@@ -196,3 +197,19 @@ def test_checks_stop_at_the_first_failure(spark, job):
         check_warehouse(spark, out, {"nowhere": ["x"], "arrivals": ["cicid"]})
     with pytest.raises(ValueError, match="not_null failed for 5 rows"):
         check_warehouse(spark, out, {"arrivals": ["cicid", "gender"]})
+
+
+def test_the_fact_can_be_streamed(spark, job, tmp_path):
+    src, dst, check = (str(tmp_path / d) for d in ("src", "dst", "check"))
+    codes = lambda label: spark.createDataFrame([(1, "Air"), (2, "Pleasure")], f"code int, {label} string")
+    modes, visas = codes("transport_mode"), codes("visa_category")
+    for ids in ([1, 2], [2, 3]):
+        batch = raw_arrivals(spark, 1, ids)
+        batch.write.mode("append").parquet(src)
+        stream_files(
+            spark, batch.schema, src, dst, check, partition_by=["year", "month"], key=fixed.ARRIVAL_KEY,
+            transform=lambda df: arr.arrivals(df, modes, visas),
+        )
+    got = {(r.cicid, r.transport_mode, r.visa_category) for r in read_table(spark, dst).collect()}
+    assert got == {(1, "Air", "Pleasure"), (2, None, "Pleasure"), (3, "Air", "Pleasure")}
+    assert read_table(spark, dst).count() == 3
