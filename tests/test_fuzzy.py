@@ -74,7 +74,7 @@ def cases():
     return labels, refs
 
 
-@pytest.mark.parametrize("min_score", [1, 40, 70, 90, 95, 100, None])
+@pytest.mark.parametrize("min_score", [1, 70, 95, None])
 @pytest.mark.parametrize("max_packed", [2_000, 0], ids=["short", "long"])
 def test_equals_brute_force(spark, cases, min_score, max_packed):
     labels, refs = cases

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from stellate.functions import label_is, normalise
+from stellate.functions import edit_score, label_is, normalise
 from stellate.operators import aggregates as agg
 from stellate.operators import filters, quality
 from stellate.operators.shape import cast_columns, sanitise_name
@@ -110,3 +110,10 @@ def test_null_profile(spark):
     df = spark.createDataFrame([(None, "a"), (None, None)], "`a b` int, c string")
     assert {r.column_name: r.null_count for r in agg.null_profile(df).collect()} == {"a b": 2, "c": 1}
     assert tuple(agg.profile(df).first()) == (2, 2)
+
+
+@FEW
+@given(st.text(alphabet="abc XYZ-.'9é", min_size=1, max_size=15).filter(lambda s: any(ch.isalnum() for ch in s)))
+def test_a_label_scores_100_with_itself(spark, text):
+    df = spark.createDataFrame([(text,)], "c string").select(normalise("c").alias("n"))
+    assert df.select(edit_score(F.col("n"), F.col("n"))).first()[0] == 100
