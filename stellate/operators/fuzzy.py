@@ -198,16 +198,18 @@ def match_labels(
     refs = _reference(ref, ref_col, stop_words)
     n_refs, n_bytes = measure(refs)
     short = n_refs <= max_packed and n_bytes <= BROADCAST_BYTES
-    prepared = labels.withColumn("norm", normalise(col)).withColumn("words", tokens("norm", stop_words))
+    prepared = labels.select(F.struct("*").alias("row"), normalise(col).alias("norm")).withColumn(
+        "words", tokens("norm", stop_words)
+    )
     settled = lookup_join(prepared, refs.select("norm", F.col("value").alias("exact")), ["norm"], small=short or None)
     if short:
         scanned = _scan_short_list(settled, refs, min_score)
     else:
         scanned = _scan_long_list(settled, refs, n_refs, min_score)
     points = F.when(F.col("exact").isNotNull(), F.lit(100)).otherwise(-F.col("best.neg_score"))
-    hit = (points >= F.lit(min_score or 0)) & F.col(col).isNotNull()
+    hit = (points >= F.lit(min_score or 0)) & F.col("row")[col].isNotNull()
     return scanned.select(
-        *labels.columns,
+        "row.*",
         F.when(hit, F.coalesce("exact", "best.value")).alias(match),
         F.when(hit, points).alias(score),
     )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..sources.readers import read_table
@@ -23,6 +24,23 @@ def pending(candidates: DataFrame, published: DataFrame, on: Sequence[str], smal
     return lookup_join(candidates, published.select(*on).distinct(), on, "left_anti", small)
 
 
+def _one_of(cols: Sequence[str], values: Sequence[Row]) -> Column:
+    """True for the given combinations of values: the last column is listed per combination of the others."""
+    *heads, last = cols
+    lists = defaultdict(set)
+    for r in values:
+        lists[tuple(r[c] for c in heads)].add(r[last])
+
+    def group(head: tuple, tails: set) -> Column:
+        known = [t for t in tails if t is not None]
+        hit = F.col(last).isin(known) if known else F.lit(False)
+        if None in tails:
+            hit = hit | F.col(last).isNull()
+        return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(heads, head)], hit)
+
+    return reduce(lambda a, b: a | b, [group(h, t) for h, t in lists.items()])
+
+
 def partitions_of(df: DataFrame, partition_by: Sequence[str], old: DataFrame) -> DataFrame:
     """The rows of ``old`` in the partitions that occur in ``df``; a null counts as a value.
 
@@ -33,8 +51,7 @@ def partitions_of(df: DataFrame, partition_by: Sequence[str], old: DataFrame) ->
     if not values:
         return old.limit(0)
     if len(values) <= MAX_LITERAL_PARTITIONS:
-        one = lambda r: reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(r[c])) for c in partition_by])
-        return old.where(reduce(lambda a, b: a | b, map(one, values)))
+        return old.where(_one_of(partition_by, values))
     same = [old[c].eqNullSafe(touched[c]) for c in partition_by]
     return old.join(F.broadcast(touched) if is_small(touched) else touched, same, "left_semi")
 

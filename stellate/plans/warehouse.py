@@ -12,7 +12,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.incremental import pending, publish_incremental
+from ..operators.incremental import partitions_of, pending, publish_incremental
+from ..operators.joins import star
 from ..operators.quality import run_until_failure, table_exists
 from ..operators.shape import sanitise_columns
 from ..sources.readers import read_any, read_delimited, read_lines, read_table
@@ -125,25 +126,24 @@ def pending_inputs(spark: SparkSession, inputs: Inputs, out: str) -> list[str]:
     return sorted(r.batch for r in files.collect())
 
 
-def build_arrivals(spark: SparkSession, inputs: Inputs, out: str) -> list[str]:
-    """Publish every pending arrivals file: its months are merged into the fact, so pieces and repeats are safe."""
+def build_facts(spark: SparkSession, inputs: Inputs, out: str) -> list[str]:
+    """Publish every pending arrivals file, then the dates of its months.
+
+    Its months are merged into the fact, so pieces and repeats are safe; a file is logged when all is published.
+    """
     modes = code_labels(read_lines(spark, inputs.mode_lines), "transport_mode")
     visas = code_labels(read_lines(spark, inputs.visa_lines), "visa_category")
     done = pending_inputs(spark, inputs, out)
     for batch in done:
         landed = land(read_any(spark, inputs.arrivals[batch]), f"{out}/landed/arrivals", batch)
-        publish_incremental(
-            arrivals(landed, modes, visas), f"{out}/arrivals", MONTH, key=fixed.ARRIVAL_KEY
-        )
+        fact = arrivals(landed, modes, visas)
+        publish_incremental(fact, f"{out}/arrivals", MONTH, key=fixed.ARRIVAL_KEY)
+        months = partitions_of(fact.select(*MONTH), MONTH, read_table(spark, f"{out}/arrivals"))
+        publish_incremental(time_dimension(months), f"{out}/time", MONTH)
         publish(spark.createDataFrame([(batch,)], "batch string"), f"{out}/landed/arrivals_log", mode="append")
     return done
 
 
-def build_time(spark: SparkSession, out: str) -> None:
-    """Time dimension of the whole fact, replaced month by month."""
-    publish_incremental(time_dimension(read_table(spark, f"{out}/arrivals")), f"{out}/time", MONTH)
-
-
 def check_warehouse(spark: SparkSession, out: str, tables: Mapping[str, Sequence[str]] = fixed.TABLE_KEYS) -> list[str]:
     """Every table exists, has rows and has no null in its key; the first that fails raises."""
     return run_until_failure(spark, [(name, f"{out}/{name}", keys) for name, keys in tables.items()])
@@ -153,16 +153,13 @@ def build_warehouse(spark: SparkSession, inputs: Inputs, out: str) -> list[str]:
     """Run all steps; returns the arrivals files that were published."""
     build_reference(spark, inputs, out)
     build_dimensions(spark, inputs, out)
-    done = build_arrivals(spark, inputs, out)
-    build_time(spark, out)
+    done = build_facts(spark, inputs, out)
     check_warehouse(spark, out)
     return done
 
 
 def fact_view(spark: SparkSession, out: str) -> DataFrame:
     """The fact with names from the dimensions, ready for reports."""
-    from ..operators.joins import star
-
     fact = read_table(spark, f"{out}/arrivals").withColumn("residence_country", F.col("residence_country").cast("bigint"))
     countries = read_table(spark, f"{out}/countries").groupBy("i94_cntyl_code").agg(
         F.min("country_iso3166").alias("country_iso3166")

@@ -107,3 +107,11 @@ def test_threshold_is_checked(spark):
     df = spark.createDataFrame([("a",)], "label string")
     with pytest.raises(ValueError):
         fuzzy_lookup(df, "label", df, "label", min_score=101)
+
+
+@pytest.mark.parametrize("name", ["norm", "block", "words", "best", "len"])
+def test_any_column_name_will_do(spark, name):
+    df = spark.createDataFrame([("Chile", 1)], f"{name} string, row int")
+    ref = spark.createDataFrame([("CHILE",)], "name string")
+    for packed in (2_000, 0):
+        assert fuzzy_lookup(df, name, ref, "name", max_packed=packed).collect() == [("Chile", 1, "CHILE", 100)]

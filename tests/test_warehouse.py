@@ -1,9 +1,12 @@
 """The whole job on small raw files with the known irregularities."""
 
+import dataclasses
 import datetime as dt
+import json
 
 import pytest
 
+import build_warehouse as build_warehouse_job
 from stellate.operators import quality
 from stellate.plans import arrivals as arr
 from stellate.plans import fixed_values as fixed
@@ -213,3 +216,11 @@ def test_the_fact_can_be_streamed(spark, job, tmp_path):
     got = {(r.cicid, r.transport_mode, r.visa_category) for r in read_table(spark, dst).collect()}
     assert got == {(1, "Air", "Pleasure"), (2, None, "Pleasure"), (3, "Air", "Pleasure")}
     assert read_table(spark, dst).count() == 3
+
+
+def test_command_line(spark, job, tmp_path):
+    inputs, out, _, _ = job
+    config = tmp_path / "inputs.json"
+    config.write_text(json.dumps(dataclasses.asdict(inputs)))
+    assert build_warehouse_job.main([str(config), out]) == []
+    assert build_warehouse_job.main([str(config), out, "--check-only"]) == list(fixed.TABLE_KEYS)
