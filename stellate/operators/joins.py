@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .aggregates import dedupe_by_key
 
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 2_000_000
 HOT_BUCKETS = 1 << 16
@@ -53,13 +53,15 @@ def hot_key_hashes(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS, max_key
     A key that is not in the list takes the ordinary shuffle join, so the list decides speed and never the result.
     """
     bucket = F.pmod(key, F.lit(HOT_BUCKETS))
-    sizes = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()  # HOT_BUCKETS rows at most
-    full = max(hot_rows, HOT_FACTOR * sum(r.n for r in sizes) // HOT_BUCKETS)
-    buckets = sorted((-r.n, r.b) for r in sizes if r.n >= full)[:max_keys]
+    sizes = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    big = F.when(F.col("n") >= hot_rows, F.struct("n", "b"))
+    total, found = sizes.agg(F.sum("n"), F.collect_list(big)).first()  # HOT_BUCKETS entries at most
+    full = max(hot_rows, HOT_FACTOR * (total or 0) // HOT_BUCKETS)
+    buckets = [r.b for r in sorted(found, reverse=True) if r.n >= full][:max_keys]
     if not buckets:
         return []
     heavy = (
-        df.where(bucket.isin([b for _, b in buckets]))
+        df.where(bucket.isin(buckets))
         .groupBy(key.alias("h"))
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= hot_rows)
@@ -69,6 +71,12 @@ def hot_key_hashes(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS, max_key
     return [r.h for r in heavy.collect()]
 
 
+def _key_types(df: DataFrame, on: Sequence[str]) -> list[str]:
+    """Types under which the keys are hashed: all whole numbers count as one type."""
+    types = dict(df.dtypes)
+    return ["bigint" if types[c] in ("tinyint", "smallint", "int") else types[c] for c in on]
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -87,10 +95,10 @@ def lookup_join(
         return left.join(F.broadcast(right), on, how)
     if left.isStreaming or hot_rows is None:
         return left.join(right, on, how)
-    left_types, right_types = dict(left.dtypes), dict(right.dtypes)
-    if any(left_types[c] != right_types[c] or left_types[c] in ("float", "double") for c in on):
+    left_types, right_types = _key_types(left, on), _key_types(right, on)
+    if left_types != right_types or {"float", "double"} & set(left_types):
         return left.join(right, on, how)  # equal keys may hash differently: leave skew to AQE
-    key = F.xxhash64(*on)
+    key = F.xxhash64(*[F.col(c).cast(t) for c, t in zip(on, left_types)])
     hot = hot_key_hashes(left, key, hot_rows)
     hot_right = right.where(key.isin(hot))
     if how in ("left_semi", "left_anti"):

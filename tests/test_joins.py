@@ -41,10 +41,11 @@ def test_repeated_reference_keys(skewed, ref, how):
     assert bag(joins.lookup_join(skewed, twice, ["k"], how, small=False, hot_rows=300)) == plain
 
 
-def test_keys_of_different_types(skewed, ref):
-    ints = ref.withColumn("k", F.col("k").cast("int"))
+@pytest.mark.parametrize("type_", ["int", "smallint", "double", "string"])
+def test_keys_of_different_types(skewed, ref, type_):
+    other = ref.withColumn("k", F.col("k").cast(type_))
     plain = bag(skewed.join(ref, "k", "left"))
-    assert bag(joins.lookup_join(skewed, ints, ["k"], small=False, hot_rows=300)) == plain
+    assert bag(joins.lookup_join(skewed, other, ["k"], small=False, hot_rows=300)) == plain
 
 
 def test_hot_keys_are_found(skewed):
