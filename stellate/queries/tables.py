@@ -222,7 +222,7 @@ _EVENT_PLACE = """CASE event_type WHEN 'click' THEN 'Invalid: ' || n_name WHEN '
     f"""WITH raw AS (SELECT DISTINCT CAST(ts AS DATE) AS date, {_EVENT_PLACE} AS country, 'City ' || user_id AS city,
                value AS averagetemperature, value / 4 AS averagetemperatureuncertainty,
                CAST(user_id AS DOUBLE) + 0.5 AS latitude,
-               CASE WHEN event_type = 'view' THEN -1.0 ELSE 1.0 END * CAST(user_id AS DOUBLE) AS longitude
+               CASE WHEN event_type = 'view' THEN -1.0 ELSE 1.0 END * (CAST(user_id AS DOUBLE) + 0.25) AS longitude
              FROM events LEFT JOIN customer ON user_id = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
              WHERE value >= 2),
         {_standardised_sql('raw', 'country')}
@@ -242,7 +242,7 @@ def temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
             "concat('City ', user_id) AS City",
             f"{_EVENT_PLACE} AS Country",
             "concat(user_id, '.5N') AS Latitude",
-            "concat(user_id, CASE WHEN event_type = 'view' THEN 'W' ELSE 'E' END) AS Longitude",
+            "concat(user_id, '.25', CASE WHEN event_type = 'view' THEN 'W' ELSE 'E' END) AS Longitude",
         )
     )
     return geography.temperatures(sanitise_columns(_twice(raw)), _names(spark, sf_dir), _former(spark, sf_dir))

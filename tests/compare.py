@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 from collections import Counter
 from decimal import Decimal
 
@@ -24,7 +23,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else float(f"{v:.10g}")
+        return repr(v)  # to the last bit, and the sign of zero
     if isinstance(v, Decimal):
         return float(v)
     if isinstance(v, dt.datetime):
