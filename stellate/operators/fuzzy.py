@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.similarity import TOKEN_WEIGHT, edit_score, normalise, token_score, tokens
 from ..sources.workspace import store
-from .joins import BROADCAST_BYTES, lookup_join, measure
+from .joins import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join, measure
 
 MAX_PACKED = 2_000
 BLOCK_ROWS = 500
@@ -101,26 +101,33 @@ def _scan_short_list(labels: DataFrame, refs: DataFrame, min_score: int | None)
     )
 
 
-def _scan_blocks(labels: DataFrame, refs: DataFrame, n_refs: int, min_score: int | None) -> DataFrame:
-    """(norm, best) over the blocks that a label has to visit; labels and blocks are spread by salts."""
+def _scan_blocks(
+    labels: DataFrame, refs: DataFrame, n_refs: int, min_score: int | None, broadcast_blocks: bool
+) -> DataFrame:
+    """(norm, best) over the blocks that a label has to visit.
+
+    Blocks that fit a broadcast come to the labels. Otherwise labels and blocks meet by shuffle, spread by salts.
+    """
     parts = max(1, -(-n_refs // BLOCK_ROWS))
-    band = F.floor(F.length("norm") / LENGTH_STEP).cast("int")
+    here = F.length("norm")
+    band = F.floor(here / LENGTH_STEP).cast("int")
     blocks = refs.select("*", band.alias("band"), F.pmod(F.xxhash64("norm"), F.lit(parts)).alias("part"))
     packed = blocks.groupBy("band", "part").agg(_block().alias("block"))
-    here = F.length("norm")
-    catalogue = blocks.select("band", "part").distinct()
+    low, high = F.lit(0), F.lit(refs.agg(F.max(band)).first()[0] or 0)
     if min_score:
         low = F.floor(F.ceil(here * min_score / 100) / LENGTH_STEP).cast("int")
-        high = F.floor(F.floor(here * 100 / min_score) / LENGTH_STEP).cast("int")
+        high = F.least(high, F.floor(F.floor(here * 100 / min_score) / LENGTH_STEP).cast("int"))
+    bands = F.when(low <= high, F.sequence(low, high))
+    visits = _spread(labels, "norm").select("norm", "words", F.explode(bands).alias("band"))
+    if broadcast_blocks:
+        met = visits.join(F.broadcast(packed), "band")
     else:
-        low, high = F.lit(0), F.lit(refs.agg(F.max(band)).first()[0] or 0)
-    visits = labels.select("norm", "words", F.explode(F.sequence(low, high)).alias("band"))
-    # The catalogue has one short row per block: n_refs / BLOCK_ROWS rows per length band at most.
-    visits = lookup_join(visits, catalogue, ["band"], "inner")
-    salted = visits.withColumn("salt", F.pmod(F.xxhash64("norm"), F.lit(LABEL_SALTS)).cast("int"))
-    copies = packed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1))))
-    keys = ["band", "part", "salt"]
-    met = _spread(salted, *keys).join(_spread(copies, *keys), keys)
+        # The catalogue has one short row per block: n_refs / BLOCK_ROWS rows per length band at most.
+        visits = lookup_join(visits, blocks.select("band", "part").distinct(), ["band"], "inner")
+        salted = visits.withColumn("salt", F.pmod(F.xxhash64("norm"), F.lit(LABEL_SALTS)).cast("int"))
+        copies = packed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(LABEL_SALTS - 1))))
+        keys = ["band", "part", "salt"]
+        met = _spread(salted, *keys).join(_spread(copies, *keys), keys)
     return _with_best(met, min_score, edit_only=bool(min_score)).where(F.col("best").isNotNull()).select("norm", "best")
 
 
@@ -137,7 +144,7 @@ def _rare_first(rows: DataFrame, freq: DataFrame, key: str, min_score: int) -> D
     """
     words = rows.select(key, F.explode("words").alias("word"))
     ranked = (
-        words.join(freq, "word", "left")
+        lookup_join(words, freq, ["word"])
         .groupBy(key)
         .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "word"))).alias("w"))
     )
@@ -169,9 +176,11 @@ def _scan_words(labels: DataFrame, refs: DataFrame, min_score: int) -> DataFrame
     )
 
 
-def _scan_long_list(labels: DataFrame, refs: DataFrame, n_refs: int, min_score: int | None) -> DataFrame:
+def _scan_long_list(
+    labels: DataFrame, refs: DataFrame, n_refs: int, min_score: int | None, broadcast_blocks: bool
+) -> DataFrame:
     open_labels = labels.where(F.col("exact").isNull()).select("norm", "words").distinct()
-    scans = [_scan_blocks(open_labels, refs, n_refs, min_score)]
+    scans = [_scan_blocks(open_labels, refs, n_refs, min_score, broadcast_blocks)]
     if min_score and min_score <= TOKEN_WEIGHT:  # without a threshold every block was visited
         scans.append(_scan_words(open_labels, refs, min_score))
     best = reduce(DataFrame.unionByName, scans).groupBy("norm").agg(F.min("best").alias("best"))
@@ -197,15 +206,16 @@ def match_labels(
         raise ValueError("min_score must lie in 1..100, or be None for the best match at any score")
     refs = _reference(ref, ref_col, stop_words)
     n_refs, n_bytes = measure(refs)
-    short = n_refs <= max_packed and n_bytes <= BROADCAST_BYTES
+    small = n_refs <= BROADCAST_ROWS and n_bytes <= BROADCAST_BYTES
+    short = small and n_refs <= max_packed
     prepared = labels.select(F.struct("*").alias("row"), normalise(col).alias("norm")).withColumn(
         "words", tokens("norm", stop_words)
     )
-    settled = lookup_join(prepared, refs.select("norm", F.col("value").alias("exact")), ["norm"], small=short or None)
+    settled = lookup_join(prepared, refs.select("norm", F.col("value").alias("exact")), ["norm"], small=small)
     if short:
         scanned = _scan_short_list(settled, refs, min_score)
     else:
-        scanned = _scan_long_list(settled, refs, n_refs, min_score)
+        scanned = _scan_long_list(settled, refs, n_refs, min_score, small)
     points = F.when(F.col("exact").isNotNull(), F.lit(100)).otherwise(-F.col("best.neg_score"))
     hit = (points >= F.lit(min_score or 0)) & F.col("row")[col].isNotNull()
     return scanned.select(

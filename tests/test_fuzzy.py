@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from stellate.operators import fuzzy
 from stellate.operators.fuzzy import fuzzy_lookup
 
 WORDS = "north south east west new old island islands republic saint united land of the isle bay port cape".split()
@@ -75,9 +76,14 @@ def cases():
 
 
 @pytest.mark.parametrize("min_score", [1, 70, 95, None])
-@pytest.mark.parametrize("max_packed", [2_000, 0], ids=["short", "long"])
-def test_equals_brute_force(spark, cases, min_score, max_packed):
+@pytest.mark.parametrize("way", ["short", "blocks", "salted"])
+def test_equals_brute_force(spark, cases, monkeypatch, min_score, way):
     labels, refs = cases
+    max_packed = 2_000 if way == "short" else 0
+    if way == "salted":
+        monkeypatch.setattr(fuzzy, "BROADCAST_ROWS", 10)
+        monkeypatch.setattr(fuzzy, "BLOCK_ROWS", 20)
+        monkeypatch.setattr(fuzzy, "LABEL_SALTS", 3)
     df = spark.createDataFrame([(l,) for l in labels + labels[:50]], "label string")
     ref = spark.createDataFrame([(r,) for r in refs] + [("  ",), (None,)], "name string")
     out = fuzzy_lookup(df, "label", ref, "name", min_score, on_miss=None, max_packed=max_packed).collect()
