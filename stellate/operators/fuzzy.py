@@ -86,9 +86,7 @@ def _with_best(labels: DataFrame, min_score: int | None, edit_only: bool = False
         labels = labels.withColumn("floor", F.greatest(by_words, F.lit(min_score or 0)))
         reaches = lambda r: (r["word"] >= F.col("floor")) | _edit_reaches(r, F.col("floor"))
         labels = labels.withColumn("kept", F.filter("block", reaches))
-    measured = F.transform(
-        "kept", lambda r: F.struct(edit_score(F.col("norm"), r["norm"]).alias("edit"), r["word"].alias("word"), r["value"].alias("value"))
-    )
+    measured = F.transform("kept", lambda r: r.withField("edit", edit_score(F.col("norm"), r["norm"])))
     best = F.array_min(F.transform(measured, lambda c: _candidate(c["edit"], c["word"], c["value"])))
     return labels.withColumn("best", best).drop("block", "kept", "floor", "len")
 

@@ -63,7 +63,8 @@ def port_dictionary(
     one_each = dedupe_by_key(unusable, ["i94_prtl_code"], ["portloc_state_i94"])
     found = keep_not_null(lookup_chain(one_each, "i94_prtl_code", sources, "reference_port_loc"), "reference_port_loc")
 
-    formatted = format_location(keep_not_null(usable, "portloc_state_i94"), "portloc_state_i94", names, "reference_country", former)
+    labelled = keep_not_null(usable, "portloc_state_i94")
+    formatted = format_location(labelled, "portloc_state_i94", names, "reference_country", former)
     columns = ["i94_prtl_code", "portloc_state_i94", "reference_port_loc"]
     return union_all(formatted.select(*columns), found.select(*columns))
 
