@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster (``spark.checkpoint.dir``). A session on one machine may go without it."""
+    """The shared folder of the cluster: ``spark.checkpoint.dir``, or a folder below the session's warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="stellate-")
+    return (configured or spark.conf.get("spark.sql.warehouse.dir") + "/_work").rstrip("/")
 
 
 def new_dir(spark: SparkSession, name: str) -> str:

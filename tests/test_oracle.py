@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry
+from stellate.queries import registry
 
 from .compare import connect, differences
 
@@ -19,7 +20,7 @@ def con():
         yield c
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_equals_sql(spark, con, name):
     df = entry.queries()[name](spark, SF)
     assert differences(df, con, entry.oracle_sql()[name]) == []
