@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, repair, sharding
+from . import packing, repair, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -27,6 +27,12 @@ def op3_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), shards=24)
 
 
+@_query
+def op6_simhash_byte_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @_query
 def op9_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 2048 tokens."""
