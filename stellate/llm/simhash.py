@@ -25,6 +25,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ..sources.workspace import store
 from .arrow import as_bytes, slices
+from .columns import neutral
 from .components import labelled
 
 SEED = 42
@@ -201,11 +202,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", shingle: int = SHINGLE
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, max_bits: int = MAX_BITS, seed: int = SEED) -> DataFrame:
     """One row of each group of near-duplicates, with all columns of ``docs``: that with the least ``key`` (null last),
-    and of rows with the same key any one. An empty table gives no rows. ``_fp`` and ``_row`` are names of its own."""
-    own = docs.drop("_fp", "_row")
+    and of rows with the same key any one. An empty table gives no rows."""
+    own, back = neutral(docs, key, "text")
     printed = store(fingerprints(own, shingle, seed).withColumn("_row", F.monotonically_increasing_id()), "fingerprints")
     order = F.struct(F.col(key).isNull(), F.col(key), F.col("_row"))
     known = _components(printed.select(key, "_fp"), key, max_bits)
     grouped = printed.select(key, "_fp", "_row").join(known, "_fp").groupBy("_root")
     kept = grouped.agg(F.min(order).alias("_first")).select("_first._row")
-    return printed.join(kept, "_row", "left_semi").select([F.col(f"`{c}`") for c in own.columns])
+    return back(printed.join(kept, "_row", "left_semi"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
@@ -10,7 +12,7 @@ from .arrow import binary_like
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _BLOCK = 1 << 20
-#: Longer words don't go through the hash.
+#: Longer words get a hash of another kind.
 LONGEST = 1000
 
 
@@ -61,7 +63,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word ``data[start:end]`` of at most ``LONGEST`` bytes. Words lie in ascending order."""
+    """A 64-bit hash of each word ``data[start:end]``. Words lie in ascending order."""
+    long = np.flatnonzero(end - start > LONGEST)
+    if len(long):
+        end = end.copy()
+        other = [hashlib.blake2b(data[a:b].tobytes(), digest_size=8).digest() for a, b in zip(start[long].tolist(), end[long].tolist())]
+        end[long] = start[long]
     out = np.zeros(len(start), dtype=np.uint64)
     at = 0
     while at < len(start):
@@ -73,6 +80,8 @@ def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         a, b = start[at:upto] - low, end[at:upto] - low
         out[at:upto] = (total[b] - total[a]) * down[a]
         at = upto
+    if len(long):
+        out[long] = np.frombuffer(b"".join(other), dtype=np.uint64)
     out ^= out >> np.uint64(29)
     out *= _MIX
     out ^= out >> np.uint64(32)
@@ -116,6 +125,18 @@ class Table:
             left = np.concatenate([want[~won], left[~free]])
             slot[left] = (slot[left] + 1) & mask
 
+    @classmethod
+    def of(cls, keys: np.ndarray) -> "Table":
+        """Rows 0, 1, ... for some distinct keys, in their order."""
+        out = cls(max(8, int(2 * len(keys) + 1).bit_length()))
+        out._put(keys, np.arange(len(keys), dtype=np.int32))
+        out.size = len(keys)
+        return out
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Row of each key, or -1."""
+        return self._find(keys)
+
     def number(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row of every key, and for each key not seen before, in the order of their new rows, one place in ``keys``."""
         rows = self._find(keys)
