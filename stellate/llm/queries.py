@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, repair, sharding, simhash
+from . import decontaminate, packing, repair, sharding, simhash, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -67,6 +67,12 @@ def op6_simhash_byte_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@_query
+def op7_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op9_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 2048 tokens."""
