@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyarrow import fs
+from pyspark.sql import DataFrame
 
 
 def open_fs(uri: str) -> tuple[fs.FileSystem, str]:
@@ -32,3 +35,17 @@ def commit(folder: str, temporary: str, final: str) -> None:
     if done.type == fs.FileType.File and store.get_file_info(join(path, temporary)).type == fs.FileType.NotFound:
         return
     store.move(join(path, temporary), join(path, final))
+
+
+def publish(listed: DataFrame, folder: str) -> DataFrame:
+    """Give the files of a written list (``temporary``, ``final``) their final names, then write it as the manifest."""
+
+    def rename(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                commit(folder, row["temporary"], row["final"])
+            yield batch
+
+    path = join(folder, "manifest.parquet")
+    listed.mapInArrow(rename, listed.schema).write.parquet(path)
+    return listed.sparkSession.read.schema(listed.schema).parquet(path)

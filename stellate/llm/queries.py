@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, repair, sharding, simhash, vectors
+from . import decontaminate, packing, repair, sharding, simhash, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,6 +61,24 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+@_query
+def op5_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as read back from their archives."""
+    found = warc.round_trip(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op5_warc_archives"] = """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+           FROM pages),
+g AS (SELECT payload_digest, max(page_id) AS head FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN head IS NULL OR head = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN head <> page_id THEN head END AS refers_to
+FROM p LEFT JOIN g USING (payload_digest)
+"""
+
+
 @_query
 def op6_simhash_byte_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""

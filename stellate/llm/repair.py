@@ -194,7 +194,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: i
             data = shard.to_bytes()
             final = f"ids-{part:06d}-{number:05d}.rpids"
             temporary = files.attempt_name(final)
-            with store.open_output_stream(files.join(place, temporary)) as out:
+            with store.open_output_stream(files.join(place, temporary), compression=None) as out:
                 out.write(data)
             row = [part, number, temporary, final, len(counts), int(counts.sum()), len(data)]
             number += 1
@@ -213,23 +213,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: i
     ordered = sorted_by(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "doc_id", F.xxhash64("text"))
     listed = files.join(folder, "_list")
     ordered.mapInArrow(put, MANIFEST).write.parquet(listed)
-    return commit(session.read.schema(MANIFEST).parquet(listed), folder)
-
-
-def commit(listed: DataFrame, folder: str) -> DataFrame:
-    """Give the listed files their final names, then write the manifest."""
-    session = listed.sparkSession
-
-    def rename(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                files.commit(folder, row["temporary"], row["final"])
-            yield batch
-
-    kind = listed.schema.simpleString()[len("struct<") : -1].replace(":", " ")
-    path = files.join(folder, "manifest.parquet")
-    listed.mapInArrow(rename, kind).write.parquet(path)
-    return session.read.schema(listed.schema).parquet(path)
+    return files.publish(session.read.schema(MANIFEST).parquet(listed), folder)
 
 
 def read(manifest: DataFrame, folder: str) -> DataFrame:
@@ -240,7 +224,7 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
         store, place = files.open_fs(folder)
         for batch in batches:
             for row in batch.to_pylist():
-                with store.open_input_stream(files.join(place, row["final"])) as source:
+                with store.open_input_stream(files.join(place, row["final"]), compression=None) as source:
                     shard = Shard.from_bytes(source.read())
                 ids, counts = shard.all_tokens()
                 ends = offsets(counts)
