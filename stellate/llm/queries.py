@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, repair, sharding, simhash, vectors, warc
+from . import decontaminate, packing, quality, repair, sharding, simhash, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -91,6 +91,12 @@ def op7_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+@_query
+def op8_random_indexing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_query
 def op9_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document in sequences of 2048 tokens."""
