@@ -1,20 +1,51 @@
-"""A cleaning pipeline over ``documents``; each stage works on what the one before kept."""
+"""A cleaning pipeline over ``documents``; each stage works on all that the one before kept.
+
+Language identification, quality classifier, SimHash near-duplicates, benchmark decontamination, best-fit packing. What a
+stage rejects is gone; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stellate.llm import packing
+from stellate.llm import decontaminate, language, packing, quality, simhash
 from stellate.sources.workspace import store
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is accepted."""
+    return language.keep_identified(docs)
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are predicted good."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose fingerprints (3-word shingles) are connected by at most 3 differing bits."""
+    return simhash.deduplicate(docs, shingle=3, max_bits=3)
+
+
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth of the words lie in windows of benchmark items."""
+    return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 2048 tokens."""
     return packing.pack_documents(docs)
 
 
-STAGES = [("best-fit packing", pack)]
+STAGES = [
+    ("language identification", identify_language),
+    ("quality classifier", keep_quality),
+    ("SimHash near-duplicates", drop_near_duplicates),
+    ("benchmark decontamination", decontaminate_benchmark),
+    ("best-fit packing", pack),
+]
 
-#: The stages train models and compare fingerprints, which SQL can't express; tests hold them against brute force.
+#: Stages train models and compare fingerprints, which SQL can't express; tests hold them against brute force.
 ORACLE_SQL = None
 
 
