@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..sources.workspace import new_dir
 from . import files
-from .arrow import offsets, slices
+from .arrow import CHUNK_BYTES, offsets, slices
 from .order import running_start, sorted_by
 from .tokens import default_vocabulary, encoder
 
@@ -201,7 +201,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: i
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()])], names)
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", min(CHUNK_BYTES, 2 * shard_tokens)):
             ids, counts = own.encode(batch.column("text"))
             held.append((batch.column("doc_id").to_pylist(), np.insert(ids, np.cumsum(counts), end_id), counts + 1))
             if sum(len(h[1]) for h in held) >= shard_tokens:

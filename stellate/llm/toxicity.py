@@ -195,7 +195,7 @@ def train_chain(rows: Rows, words: np.ndarray, labels: list[np.ndarray], folds:
     grid = np.linspace(0.05, 0.95, 19)
     f1 = [2 * (y * (score >= t)).sum() / max(1, y.sum() + (score >= t).sum()) for t in grid]
     best = np.flatnonzero(np.array(f1) >= max(f1) - 1e-12)
-    return Chain(models, float(grid[best[len(best) // 2]]) if y.sum() else 0.5)
+    return Chain(models, float(grid[best[len(best) // 2]]) if y.sum() else float("inf"))
 
 
 # ---- fit and apply -----------------------------------------------------------------------------------------------

@@ -166,12 +166,20 @@ def _ranges(pages: DataFrame) -> np.ndarray:
     share = F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 30)) < F.lit(int(min(1.0, SAMPLED * shards / max(n, 1)) * (1 << 30)))
     keys = _sortable(*(np.array(c, dtype=np.int64) for c in zip(*pages.where(share).select(*_key()).collect(), (0, 0))))[:-1]
     keys.sort()
-    return np.unique(keys[np.arange(1, shards) * len(keys) // shards]) if len(keys) else keys
+    if not len(keys):
+        return keys
+    return keys[np.arange(1, shards) * len(keys) // shards]
 
 
 def _key() -> list:
-    """Sort key: the page id (null first), then a number by which rows with the same id can be split."""
-    return [F.coalesce(F.col("page_id").cast("long"), F.lit(-(1 << 63))), F.xxhash64("page_id", "url", F.pmod(F.monotonically_increasing_id(), F.lit(16)))]
+    """Sort key: the page id (null first), then the hash of the address."""
+    return [F.coalesce(F.col("page_id").cast("long"), F.lit(-(1 << 63))), F.xxhash64("page_id", "url")]
+
+
+def _shard(bounds: np.ndarray, key: np.ndarray, turn: np.ndarray) -> np.ndarray:
+    """Shard of each key. Rows with a key that fills several shards are dealt to them by turns."""
+    low, high = np.searchsorted(bounds, key, side="left"), np.searchsorted(bounds, key, side="right")
+    return np.where(high - low > 1, low + 1 + turn % np.maximum(high - low, 1), high).astype(np.int32)
 
 
 def _sortable(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -193,10 +201,10 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, date: str
     bounds = _ranges(pages)
 
     @F.pandas_udf("int")
-    def shard_of(first, second):
+    def shard_of(first, second, turn):
         import pandas as pd
 
-        return pd.Series(np.searchsorted(bounds, _sortable(first.to_numpy(), second.to_numpy()), side="right").astype(np.int32))
+        return pd.Series(_shard(bounds, _sortable(first.to_numpy(), second.to_numpy()), turn.to_numpy()))
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store_, place = files.open_fs(folder)
@@ -232,7 +240,7 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, date: str
 
     first, second = _key()
     keyed = _decided(pages).withColumns({"_first": first, "_second": second})
-    placed = keyed.withColumn("shard", shard_of("_first", "_second"))
+    placed = keyed.withColumn("shard", shard_of("_first", "_second", F.monotonically_increasing_id()))
     ordered = placed.repartition("shard").sortWithinPartitions("shard", "_first", "_second", "digest").drop("_first", "_second")
     path = files.join(folder, "_list")
     ordered.mapInArrow(put, MANIFEST).write.parquet(path)
