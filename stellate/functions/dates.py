@@ -13,9 +13,10 @@ EPOCH_1960 = "1960-01-01"
 def epoch_days_to_date(c: Column | str, base: str = EPOCH_1960, null_as: int | None = None) -> Column:
     """Day number counted from ``base`` -> date.
 
-    A null stays null unless ``null_as`` gives the day number to put in its place.
+    Text such as ``20574.0`` counts as a number; what is no number gives null. A null stays null unless ``null_as`` gives
+    the day number to put in its place.
     """
-    days = as_col(c).cast("int")
+    days = as_col(c).try_cast("double").try_cast("int")
     if null_as is not None:
         days = F.coalesce(days, F.lit(null_as))
     return F.date_add(F.lit(base).cast("date"), days)

@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 BLANKS = " \t\n\r\f\v"
+WHOLE = ("tinyint", "smallint", "int", "integer", "bigint", "long")
 
 
 def as_col(c: Column | str) -> Column:
@@ -21,15 +22,15 @@ def strip_blanks(c: Column | str) -> Column:
 
 
 def parse_number(c: Column | str, type_: str = "double") -> Column:
-    """Text -> number; null where the text is no number.
+    """Text -> number; null where the text is no number. A whole number may have a fraction of zeros (``5748517.0``).
 
-    ``try_cast`` alone does the same but throws and catches an exception per bad value, which costs many times the
-    parsing; texts that cannot be numbers are therefore sorted out by pattern first.
+    ``try_cast`` throws and catches an exception per bad value, which costs many times the parsing; texts that cannot be
+    numbers are therefore sorted out by pattern first.
     """
     c = as_col(c)
-    whole = type_ in ("tinyint", "smallint", "int", "integer", "bigint", "long")
-    pattern = r"^[\s\p{Cntrl}]*[+-]?\d+[\s\p{Cntrl}]*$" if whole else r"^[\s\p{Cntrl}]*[+-]?(\d|\.\d|[iInN])"
-    return F.when(c.rlike(pattern), c.try_cast(type_))
+    if type_ in WHOLE:
+        return F.when(c.rlike(r"^[\s\p{Cntrl}]*[+-]?\d+(\.0*)?[\s\p{Cntrl}]*$"), F.substring_index(c, ".", 1).try_cast(type_))
+    return F.when(c.rlike(r"^[\s\p{Cntrl}]*[+-]?(\d|\.\d|[iInN])"), c.try_cast(type_))
 
 
 def strip_chars(c: Column | str, chars: str = ' "') -> Column:

@@ -47,6 +47,15 @@ def dedupe_by_key(df: DataFrame, key: Sequence[str], order_by: Order) -> DataFra
     return top_per_group(df, key, order_by)
 
 
+def one_per_key(df: DataFrame, key: Sequence[str], order_by: Order) -> DataFrame:
+    """One row per key, the first in ``order_by``; a row with a null in its key repeats only rows that agree with it in
+    every column (but those whose names begin with two underscores)."""
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+    others = [c for c in df.columns if c not in key and not c.startswith("__")]
+    guarded = df.withColumn("__whole", F.when(missing, F.struct(F.lit(0), *others)))
+    return dedupe_by_key(guarded, [*key, "__whole"], order_by).drop("__whole")
+
+
 def count_by(df: DataFrame, keys: Mapping[str, Column] | Sequence[str], count: str = "n") -> DataFrame:
     """Rows per key. ``keys`` are column names, or new names with their expressions."""
     cols = [c.alias(k) for k, c in keys.items()] if isinstance(keys, Mapping) else list(keys)

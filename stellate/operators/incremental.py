@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from ..sources.readers import read_table
 from ..sources.sinks import publish
-from ..sources.workspace import store
-from .aggregates import dedupe_by_key, union_all
+from ..sources.workspace import discard, new_dir
+from .aggregates import one_per_key, union_all
 from .joins import is_small, lookup_join
 from .quality import table_exists
 
@@ -61,14 +61,15 @@ def merge_with_published(
 ) -> DataFrame:
     """The batch together with what its partitions already hold, one row per key; on equal keys the batch wins.
 
-    Only the partitions that occur in the batch are read.
+    Rows with a null in their key all stay; one that is published again adds nothing. Only the partitions that occur in the
+    batch are read, under the batch's types. The batch is read twice.
     """
     if not table_exists(df.sparkSession, path):
-        return dedupe_by_key(df, key, order_by)
-    df = store(df, "batch")
-    kept = partitions_of(df, partition_by, read_table(df.sparkSession, path)).select(*df.columns)
+        return one_per_key(df, key, order_by)
+    published = read_table(df.sparkSession, path, schema=df.schema)
+    kept = partitions_of(df, partition_by, published).select(*df.columns)
     both = union_all(df.withColumn("__age", F.lit(0)), kept.withColumn("__age", F.lit(1)))
-    return dedupe_by_key(both, key, ["__age", *order_by]).drop("__age")
+    return one_per_key(both, key, ["__age", *order_by]).drop("__age")
 
 
 def publish_incremental(
@@ -77,15 +78,24 @@ def publish_incremental(
     partition_by: Sequence[str],
     key: Sequence[str] | None = None,
     order_by: Sequence[Column | str] | None = None,
+    stored: bool = False,
     **options,
 ) -> None:
     """Publish whole partitions (months): those in the batch are replaced, all others stay, so a repeat adds nothing.
 
-    With a ``key`` a month may arrive in pieces: the batch is stored, merged with the published month, and one row per
-    key is kept, the first in ``order_by`` (default: by all other columns). Old files are removed only when the new ones
-    are complete, so a job that dies can be run again.
+    With a ``key`` a month may arrive in pieces: the batch is merged with the published month, and one row per key is
+    kept, the first in ``order_by`` (default: by all other columns); rows with a null in their key are all kept. The batch
+    is written to the shared folder for that and removed again, unless it is cheap to read twice (``stored``). Old files
+    are removed only when the new ones are complete, so a job that dies can be run again.
     """
+    spark, work = df.sparkSession, None
     if key:
-        order = order_by or [c for c in df.columns if c not in key]
+        order = order_by or [c for c in df.columns if c not in key] or list(key)
+        if not stored and table_exists(spark, path):
+            work = new_dir(spark, "batch")
+            df.write.parquet(work)
+            df = spark.read.schema(df.schema).parquet(work)
         df = merge_with_published(df, path, partition_by, key, order)
     publish(df, path, mode="overwrite", partition_by=partition_by, dynamic=True, **options)
+    if work:
+        discard(spark, work)

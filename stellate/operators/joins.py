@@ -1,10 +1,12 @@
 """Lookup joins.
 
-``lookup_join`` is the one way in which the library joins a long table to a reference table:
+``lookup_join`` is the one way in which the library joins a long table to a reference table. It is an ordinary equi-join:
+Spark broadcasts the reference if that turns out small enough at run time, else both sides meet by shuffle and adaptive
+execution splits the partitions of hot keys. Nothing is counted beforehand.
 
-* a reference table whose measured size is below the limits is broadcast;
-* a longer one is joined by shuffle, after the keys that hold very many left rows were split off. Those few keys need
-  only their own few reference rows, which are broadcast, so the hot rows never meet in one task.
+Where that does not help (adaptive execution is off, or a hot key's rows have to be spread before a later step), the keys
+that hold very many rows can be found in one pass over the long table, and their rows dealt to several tasks by a salt; the
+few reference rows of those keys are copied to each salt. The join stays one join, so chains of joins stay linear.
 """
 
 from __future__ import annotations
@@ -16,15 +18,15 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import WHOLE, parse_number
 from .aggregates import dedupe_by_key
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
+#: A key is hot if it has this share of all rows, so that there are 1,000 such keys at most, and so many rows.
+HOT_SHARE = 0.001
 HOT_ROWS = 2_000_000
-HOT_BUCKETS = 1 << 16
-HOT_FACTOR = 4
-MAX_HOT_KEYS = 1_000
-MAX_LITERAL_CODES = 50
+SALTS = 64
 
 
 def measure(df: DataFrame) -> tuple[int, int]:
@@ -45,36 +47,37 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
     return rows <= max_rows and size <= max_bytes
 
 
-def hot_key_hashes(df: DataFrame, key: Column, hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS) -> list[int]:
-    """Hashes of the keys that hold at least ``hot_rows`` rows: the ``max_keys`` most frequent ones at most.
+def _hashed_as(df: DataFrame, on: Sequence[str]) -> list[str]:
+    """Types under which equal keys are equal: numbers of all types are doubles."""
+    types = dict(df.dtypes)
+    return ["double" if types[c].startswith((*WHOLE, "float", "double", "decimal")) else types[c] for c in on]
+
+
+def _key_hash(df: DataFrame, on: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`").cast(t) for c, t in zip(on, _hashed_as(df, on))])
+
 
-    The first pass counts key hashes in a fixed number of buckets, so every task sends a few short rows and nothing the
-    size of the key column is shuffled. Only the rows of buckets far above the average are counted key by key.
-    A key that is not in the list takes the ordinary shuffle join, so the list decides speed and never the result.
+def hot_keys(df: DataFrame, keys: Sequence[Sequence[str]], hot_rows: int = HOT_ROWS, share: float = HOT_SHARE) -> list[list[int]]:
+    """For each of several keys, the hashes of its values that hold at least ``hot_rows`` rows and ``share`` of all.
+
+    One pass over the key columns, counted in the tasks first; null is a value. There are ``1 / share`` hot values of a key
+    at most, whatever the table.
     """
-    bucket = F.pmod(key, F.lit(HOT_BUCKETS))
-    sizes = df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    big = F.when(F.col("n") >= hot_rows, F.struct("n", "b"))
-    total, found = sizes.agg(F.sum("n"), F.collect_list(big)).first()  # HOT_BUCKETS entries at most
-    full = max(hot_rows, HOT_FACTOR * (total or 0) // HOT_BUCKETS)
-    buckets = [r.b for r in sorted(found, reverse=True) if r.n >= full][:max_keys]
-    if not buckets:
-        return []
-    heavy = (
-        df.where(bucket.isin(buckets))
-        .groupBy(key.alias("h"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= hot_rows)
-        .orderBy(F.desc("n"))
-        .limit(max_keys)
-    )
-    return [r.h for r in heavy.collect()]
+    entries = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _key_hash(df, k).alias("h")) for i, k in enumerate(keys)]))
+    counts = df.select(entries.alias("e")).groupBy("e.i", "e.h").agg(F.count(F.lit(1)).alias("n"))
+    often = F.when(F.col("n") >= hot_rows, F.struct("n", "h"))
+    # a value with hot_rows rows or more: at most rows / hot_rows of them
+    found = {r.i: r for r in counts.groupBy("i").agg(F.sum("n").alias("all"), F.collect_list(often).alias("often")).collect()}
+    hot = lambda r: [x.h for x in r.often if x.n >= share * r["all"]]
+    return [hot(found[i]) if i in found else [] for i in range(len(keys))]
 
 
-def _key_types(df: DataFrame, on: Sequence[str]) -> list[str]:
-    """Types under which the keys are hashed: all whole numbers count as one type."""
-    types = dict(df.dtypes)
-    return ["bigint" if types[c] in ("tinyint", "smallint", "int") else types[c] for c in on]
+def _salted(left: DataFrame, right: DataFrame, on: Sequence[str], hot: Sequence[int], salts: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``__salt``: rows of hot keys are dealt to all salts on the left and copied to each on the right."""
+    hot_left, hot_right = _key_hash(left, on).isin(list(hot)), _key_hash(right, on).isin(list(hot))
+    dealt = left.withColumn("__salt", F.when(hot_left, F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")).otherwise(0))
+    last = F.when(hot_right, salts - 1).otherwise(0)
+    return dealt, right.withColumn("__salt", F.explode(F.sequence(F.lit(0), last)))
 
 
 def lookup_join(
@@ -83,31 +86,29 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     small: bool | None = None,
-    hot_rows: int | None = HOT_ROWS,
+    hot: Sequence[int] | int | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join a long table to a reference table on equally named columns (``left``, ``inner``, ``left_semi`` or
-    ``left_anti``). ``small`` skips the measuring of the right side; ``hot_rows=None`` skips the search for hot keys and
-    leaves skew to Spark's adaptive execution."""
+    ``left_anti``).
+
+    ``small`` says that the right side has a known bound and is to be broadcast (true) or that both sides are to be
+    shuffled (false). ``hot``: hashes from ``hot_keys`` whose rows are salted, or from how many rows on a key counts as hot.
+    """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
     on = list(on)
-    if is_small(right) if small is None else small:
+    if small:
         return left.join(F.broadcast(right), on, how)
-    if left.isStreaming or hot_rows is None:
-        return left.join(right, on, how)
-    left_types, right_types = _key_types(left, on), _key_types(right, on)
-    if left_types != right_types or {"float", "double"} & set(left_types):
-        return left.join(right, on, how)  # equal keys may hash differently: leave skew to AQE
-    key = F.xxhash64(*[F.col(c).cast(t) for c, t in zip(on, left_types)])
-    hot = hot_key_hashes(left, key, hot_rows)
-    hot_right = right.where(key.isin(hot))
-    if how in ("left_semi", "left_anti"):
-        hot_right = hot_right.select(*on).distinct()
-    if not hot or not is_small(hot_right):
-        return left.join(right, on, how)
-    hot_part = left.where(key.isin(hot)).join(F.broadcast(hot_right), on, how)
-    cold_part = left.where(~key.isin(hot)).join(right, on, how)
-    return hot_part.unionByName(cold_part)
+    if _hashed_as(left, on) != _hashed_as(right, on):
+        hot = None  # text against numbers: equal keys may hash differently
+    if isinstance(hot, int):
+        hot = hot_keys(left, [on], hot)[0]
+    if hot:
+        left, right = _salted(left, right, on, hot, salts)
+        on = [*on, "__salt"]
+    joined = left.join(right.hint("merge") if small is False else right, on, how)
+    return joined.drop("__salt") if hot else joined
 
 
 def _renamed_key(right: DataFrame, pairs: Mapping[str, str], keep: Mapping[str, str]) -> DataFrame:
@@ -160,10 +161,12 @@ def attach_reference(
     cols: Mapping[str, str],
     fanout: str = "allow",
     order_by: Sequence[Column | str] = (),
+    **options,
 ) -> DataFrame:
-    """Add reference columns ``{column: new name}`` by a left join on ``{df key: reference key}``."""
+    """Add reference columns ``{column: new name}`` by a left join on ``{df key: reference key}``. Options as in
+    ``lookup_join``."""
     ref = apply_fanout(ref, list(key.values()), fanout, order_by)
-    return lookup_join(df, _renamed_key(ref, key, cols), list(key))
+    return lookup_join(df, _renamed_key(ref, key, cols), list(key), **options)
 
 
 def lookup_chain(
@@ -187,25 +190,50 @@ def lookup_chain(
     return df if keep_sources else df.drop(*found)
 
 
-def map_codes(df: DataFrame, col: str, mapping: Mapping[Any, str] | DataFrame, new_col: str) -> DataFrame:
-    """Code -> label; a missing code gives null.
+def _whole(c: Column, type_: str) -> Column:
+    """A code as bigint; null where it is no whole number."""
+    if type_ == "string":
+        return parse_number(c, "bigint")
+    return F.when(c == F.floor(c), c.try_cast("bigint")) if type_ not in WHOLE else c.cast("bigint")
 
-    A short dict becomes a map literal. A longer dict is refused: pass a (code, label) frame, which is joined.
+
+def map_codes(
+    df: DataFrame, col: str, mapping: Mapping[Any, str] | DataFrame, new_col: str, fanout: str = "first", **options
+) -> DataFrame:
+    """Code -> label by a join; a missing code gives null.
+
+    ``mapping`` is a dict of any size or a (code, label) frame. A code with several labels gets the smallest, unless
+    ``fanout`` is ``allow`` or ``error``. Codes are compared as whole numbers, or as texts if both sides are.
     """
-    if isinstance(mapping, DataFrame):
-        code, label = mapping.columns
-        pairs = mapping.select(F.col(code).try_cast(df.schema[col].dataType).alias(col), F.col(label).alias(new_col))
-        return lookup_join(df, pairs, [col]).select(*df.columns, new_col)
-    if len(mapping) > MAX_LITERAL_CODES:
-        raise ValueError(f"{len(mapping)} codes are too many for a literal: pass a DataFrame")
-    literal = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
-    key_type = "string" if isinstance(next(iter(mapping)), str) else "int"
-    return df.withColumn(new_col, F.element_at(literal, F.col(col).try_cast(key_type)))
-
-
-def star(fact: DataFrame, dims: Sequence[tuple[DataFrame, Mapping[str, str], Mapping[str, str]]]) -> DataFrame:
+    if not isinstance(mapping, DataFrame):
+        texts = all(isinstance(k, str) for k in mapping)
+        kind = f"code {'string' if texts else 'bigint'}, label string"
+        mapping = df.sparkSession.createDataFrame(list(mapping.items()), kind)
+    code, label = mapping.columns
+    mine, theirs = df.schema[col].dataType.simpleString(), mapping.schema[code].dataType.simpleString()
+    if mine == theirs == "string":
+        left, right = F.col(f"`{col}`"), F.col(f"`{code}`")
+    else:
+        left, right = _whole(F.col(f"`{col}`"), mine), _whole(F.col(f"`{code}`"), theirs)
+    pairs = mapping.select(right.alias("__code"), F.col(f"`{label}`").alias(new_col)).where(F.col("__code").isNotNull())
+    pairs = apply_fanout(pairs, ["__code"], fanout, [F.col(new_col).asc_nulls_last()])
+    return lookup_join(df.withColumn("__code", left), pairs, ["__code"], **options).select(*[f"`{c}`" for c in df.columns], new_col)
+
+
+def star(
+    fact: DataFrame,
+    dims: Sequence[tuple[DataFrame, Mapping[str, str], Mapping[str, str]]],
+    small: bool | None = None,
+    hot_rows: int | None = None,
+) -> DataFrame:
     """Fact with attributes from its dimensions: ``(dimension, {fact key: dimension key}, {column: new name})``.
 
-    A dimension may hang on a key that an earlier one added (a snowflake).
+    A dimension may hang on a key that an earlier one added (a snowflake). With ``hot_rows`` the hot values of all keys that
+    the fact itself has are found in one pass over it. The fact is read once, or twice with ``hot_rows``, however many
+    dimensions there are.
     """
-    return reduce(lambda df, d: attach_reference(df, d[0], d[1], d[2]), dims, fact)
+    own = [i for i, (_, key, _) in enumerate(dims) if set(key) <= set(fact.columns)]
+    hot = dict(zip(own, hot_keys(fact, [list(dims[i][1]) for i in own], hot_rows))) if hot_rows and own else {}
+    for i, (dim, key, cols) in enumerate(dims):
+        fact = attach_reference(fact, dim, key, cols, small=small, hot=hot.get(i))
+    return fact

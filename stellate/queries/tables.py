@@ -404,8 +404,8 @@ def _arrivals(spark: SparkSession, sf_dir: str, missing: int | None) -> DataFram
     visa_lines = orders.selectExpr("concat(ascii(o_orderstatus), ' = Visa ', o_orderstatus) AS value")
     return arr.arrivals(
         _twice(_arrivals_raw(spark, sf_dir)),
-        dictionaries.code_labels(mode_lines.distinct(), "transport_mode"),
-        dictionaries.code_labels(visa_lines.distinct(), "visa_category"),
+        dictionaries.code_labels(mode_lines, "transport_mode"),
+        dictionaries.code_labels(visa_lines, "visa_category"),
         missing,
     )
 

@@ -40,10 +40,13 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_table(spark: SparkSession, path: str, base_path: str | None = None) -> DataFrame:
-    """Parquet table. Give ``base_path`` when the path lies below the table's root, or partition columns are lost."""
+def read_table(
+    spark: SparkSession, path: str, base_path: str | None = None, schema: StructType | None = None
+) -> DataFrame:
+    """Parquet table. Give ``base_path`` when the path lies below the table's root, or partition columns are lost; give
+    the ``schema`` when their types matter, as Spark takes a directory ``01`` for the number 1 otherwise."""
     reader = spark.read.option("basePath", base_path) if base_path else spark.read
-    return reader.parquet(path)
+    return (reader.schema(schema) if schema is not None else reader).parquet(path)
 
 
 def read_any(spark: SparkSession, path: str, fmt: str | None = None, **options) -> DataFrame:

@@ -18,6 +18,12 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/stellate/{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that is not read any more."""
+    store = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(store, True)
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table below the shared folder and read it back: later steps neither repeat its work nor
     depend on the executors that did it."""

@@ -3,10 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from stellate.operators import aggregates as agg
 from stellate.operators import joins
 from stellate.operators.fuzzy import match_labels
+from stellate.queries import checks, columns, lookups, published, registry, reports, rows, tables  # noqa: F401
 from stellate.sources import readers, sinks
 
 SF = "/root/testdata/sf0.001"
@@ -16,9 +16,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_no_python_and_no_nested_loop(spark, name):
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(registry.QUERIES[name](spark, SF))
     for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in text
 

@@ -180,3 +180,33 @@ def test_a_hot_partition_is_written_by_several_tasks(spark, tmp_path):
     assert files(99) > 4
     assert sorted(files(c) for c in range(50))[25] == 1  # only those that share the hot value's shuffle partition are cut
     assert readers.read_table(spark, str(tmp_path / "t")).count() == 300_000
+
+
+def test_rows_with_null_keys_all_stay(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows = [(1, 2016, 1, "a"), (None, 2016, 1, "b"), (None, 2016, 1, "c"), (None, 2016, 1, "c"), (None, None, 1, "d")]
+    batch = spark.createDataFrame(rows, "cicid int, year int, month int, note string")
+    for _ in range(2):
+        publish_incremental(batch, path, MONTH, key=["cicid", "year", "month"])
+    found = sorted((r.note, r.cicid) for r in readers.read_table(spark, path).collect())
+    assert found == [("a", 1), ("b", None), ("c", None), ("d", None)]
+
+
+def test_text_partitions_keep_their_text(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    batch = spark.createDataFrame([(1, "01"), (2, "02"), (3, "1"), (4, "2016-01-01"), (5, None)], "id int, st string")
+    for _ in range(2):
+        publish_incremental(batch, path, ["st"], key=["id", "st"])
+    found = readers.read_table(spark, path, schema=batch.schema).collect()
+    assert sorted(tuple(r) for r in found if r.st) == [(1, "01"), (2, "02"), (3, "1"), (4, "2016-01-01")] and len(found) == 5
+
+
+def test_merged_batches_leave_no_work_table(spark, tmp_path):
+    from pathlib import Path
+
+    work = Path(spark.conf.get("spark.checkpoint.dir")) / "stellate"
+    path = str(tmp_path / "fact")
+    before = set(work.glob("batch-*"))
+    for _ in range(2):
+        publish_incremental(month(spark, 1, [1, 2, 3]), path, MONTH, key=["cicid"])
+    assert set(work.glob("batch-*")) == before
