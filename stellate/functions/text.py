@@ -22,14 +22,19 @@ def strip_blanks(c: Column | str) -> Column:
 
 
 def parse_number(c: Column | str, type_: str = "double") -> Column:
-    """Text -> number; null where the text is no number. A whole number may have a fraction of zeros (``5748517.0``).
+    """Text -> number; null where the text is no number. A whole number may have a fraction of zeros or an exponent
+    (``5748517.0``, ``5.748517E6``).
 
     ``try_cast`` throws and catches an exception per bad value, which costs many times the parsing; texts that cannot be
     numbers are therefore sorted out by pattern first.
     """
     c = as_col(c)
     if type_ in WHOLE:
-        return F.when(c.rlike(r"^[\s\p{Cntrl}]*[+-]?\d+(\.0*)?[\s\p{Cntrl}]*$"), F.substring_index(c, ".", 1).try_cast(type_))
+        plain = c.rlike(r"^[\s\p{Cntrl}]*[+-]?\d+(\.0*)?[\s\p{Cntrl}]*$")
+        exponent = c.rlike(r"^\s*[+-]?\d+(\.\d+)?[eE][+]?\d+\s*$")
+        wide = c.try_cast("double")
+        whole = F.when(exponent & (wide == F.floor(wide)), wide.try_cast(type_))
+        return F.when(plain, F.substring_index(c, ".", 1).try_cast(type_)).otherwise(whole)
     return F.when(c.rlike(r"^[\s\p{Cntrl}]*[+-]?(\d|\.\d|[iInN])"), c.try_cast(type_))
 
 

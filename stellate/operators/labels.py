@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.similarity import normalise, tokens
 from ..functions.text import clean_label, override_by_keyword, part_at, remove_tokens, replace_all, strip_blanks, title_case
 from ..plans import fixed_values as fixed
 from ..sources.workspace import store
@@ -37,17 +38,23 @@ def standardise_labels(
     clean: Callable[[Column], Column] = country_label,
     min_score: int | None = fixed.MIN_SCORE,
     on_miss: str | None = fixed.NO_MATCH,
+    stop_words: Sequence[str] = (),
+    guard_words: Sequence[str] = fixed.GUARD_WORDS,
 ) -> DataFrame:
     """Clean a label, replace a retired name by its current one, then take the nearest reference name.
 
-    All work is done once per distinct label; the long table only takes part in the final join with the stored mapping.
+    A match counts as a miss if both have guard words, but not the same: NORTH KOREA is not South Korea, however near the
+    spelling. All work is done once per distinct label; the long table only takes part in the
+    final join with the stored mapping.
     """
     labels = df.select(col).where(F.col(col).isNotNull()).distinct()
     cleaned = labels.withColumn("__name", clean(F.col(col)))
     current = resolve_former(cleaned, "__name", former)
-    found = match_labels(current, "__name", names, name_col, min_score, match=out).select(
-        col, F.coalesce(out, F.lit(on_miss)).alias(out)
-    )
+    matched = match_labels(current, "__name", names, name_col, min_score, stop_words, match=out)
+    guards = F.array(*map(F.lit, guard_words)) if guard_words else F.array().cast("array<string>")
+    held = lambda c: F.array_sort(F.array_intersect(tokens(normalise(c)), guards))
+    apart = (F.size(held("__name")) > 0) & (F.size(held(out)) > 0) & (held("__name") != held(out))
+    found = matched.select(col, F.coalesce(F.when(~F.coalesce(apart, F.lit(False)), F.col(out)), F.lit(on_miss)).alias(out))
     return lookup_join(df, store(found, "labels"), [col]).select(*df.columns, out)
 
 

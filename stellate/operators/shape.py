@@ -56,6 +56,13 @@ def cast_columns(df: DataFrame, names: Sequence[str], type_: DataType | str, on_
     return df.withColumns({n: cast(n) for n in names})
 
 
+def conform(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Bring named columns to declared types; a bad value becomes null, columns that are not there are passed over."""
+    for type_ in dict.fromkeys(types.values()):
+        df = cast_columns(df, [c for c, t in types.items() if t == type_ and c in df.columns], type_)
+    return df
+
+
 def strip_and_cast(df: DataFrame, names: Sequence[str], chars: str = ' "', type_: str | None = None) -> DataFrame:
     """Remove stray characters from text columns; with a numeric type, turn what is left into numbers."""
     stripped = {n: strip_chars(F.col(f"`{n}`"), chars) for n in names}

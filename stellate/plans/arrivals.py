@@ -13,13 +13,15 @@ from . import fixed_values as fixed
 
 
 def arrivals(
-    raw: DataFrame, modes: DataFrame, visas: DataFrame, missing_departure_day: int | None = None
+    raw: DataFrame, modes: DataFrame, visas: DataFrame, missing_departure_day: int | None = None, distinct: bool = True
 ) -> DataFrame:
     """One row per arrival: dates from day numbers, integer keys, mode and visa labels.
 
-    A missing departure stays null; ``missing_departure_day=0`` puts 1960-01-01 there.
+    A missing departure stays null; ``missing_departure_day=0`` puts 1960-01-01 there. ``distinct=False`` leaves repeated
+    rows to a keyed publish, which removes them anyway.
     """
-    rows = dedupe(raw.select(*fixed.ARRIVAL_COLUMNS))
+    rows = raw.select(*fixed.ARRIVAL_COLUMNS)
+    rows = dedupe(rows) if distinct else rows
     dated = rows.withColumns(
         {
             "arrival_date": epoch_days_to_date("arrdate"),

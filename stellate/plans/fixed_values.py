@@ -62,6 +62,9 @@ PORT_REPLACEMENTS = [
     ("NOT REPORTED/UNKNOWN", "Unknown code"),
 ]
 
+# Words that tell countries of otherwise like names apart.
+GUARD_WORDS = ["north", "south", "east", "west", "northern", "southern", "eastern", "western", "new", "old"]
+
 # ---- fixed values: raw column -> published column ---------------------------------------------------------------
 
 STATE_COLUMNS = {
@@ -119,6 +122,32 @@ ARRIVAL_COLUMNS = [
     "depdate",
 ]
 
+# ---- types of the columns that are no text ------------------------------------------------------------------------
+
+STATE_TYPES = {"centlat": "double", "centlon": "double"}
+
+CITY_TYPES = {"median_age": "double", "male_population": "int", "female_population": "int"}
+
+AIRPORT_TYPES = {"elevation_ft": "int"}
+
+ARRIVAL_TYPES = {
+    "cicid": "double",
+    "i94yr": "double",
+    "i94mon": "double",
+    "i94res": "double",
+    "i94cit": "double",
+    "arrdate": "double",
+    "i94mode": "double",
+    "i94visa": "double",
+    "depdate": "double",
+    "biryear": "string",
+    "i94port": "string",
+    "i94addr": "string",
+    "gender": "string",
+    "airline": "string",
+    "fltno": "string",
+}
+
 ARRIVAL_INTEGERS = ["cicid", "i94yr", "i94mon", "biryear", "i94res", "i94cit"]
 
 ARRIVAL_RENAMES = {

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ..operators.incremental import partitions_of, pending, publish_incremental
 from ..operators.joins import star
 from ..operators.quality import run_until_failure, table_exists
-from ..operators.shape import sanitise_columns
+from ..operators.aggregates import union_all
+from ..operators.shape import conform, sanitise_columns
 from ..sources.readers import read_any, read_delimited, read_lines, read_table
 from ..sources.sinks import land, load_reference, publish, publish_reference
 from . import fixed_values as fixed
@@ -78,13 +79,14 @@ def build_dimensions(spark: SparkSession, inputs: Inputs, out: str) -> None:
     names = load_reference(spark, f"{out}/reference/country_names")
     world = load_reference(spark, f"{out}/reference/world")
 
-    states = state_boundaries(read_delimited(spark, inputs.states, sep=";", infer=True))
+    states = state_boundaries(conform(read_delimited(spark, inputs.states, sep=";"), fixed.STATE_TYPES))
     publish(states.hint("rebalance"), f"{out}/state_boundaries")
 
-    cities = land(read_delimited(spark, inputs.cities, sep=";", infer=True), f"{out}/landed/cities")
+    raw_cities = sanitise_columns(read_delimited(spark, inputs.cities, sep=";"))
+    cities = land(conform(raw_cities, fixed.CITY_TYPES), f"{out}/landed/cities")
     publish(city_demographics(cities).hint("rebalance"), f"{out}/city_demographics", sort_within=["state", "city"])
 
-    fields = land(read_delimited(spark, inputs.airports), f"{out}/landed/airports")
+    fields = land(conform(sanitise_columns(read_delimited(spark, inputs.airports)), fixed.AIRPORT_TYPES), f"{out}/landed/airports")
     publish_reference(airports(fields), f"{out}/reference/airports")
     publish_reference(port_codes(read_lines(spark, inputs.ports)), f"{out}/reference/port_codes")
 
@@ -127,20 +129,23 @@ def pending_inputs(spark: SparkSession, inputs: Inputs, out: str) -> list[str]:
 
 
 def build_facts(spark: SparkSession, inputs: Inputs, out: str) -> list[str]:
-    """Publish every pending arrivals file, then the dates of its months.
+    """Publish all pending arrivals files together, then the dates of their months.
 
-    Its months are merged into the fact, so pieces and repeats are safe; a file is logged when all is published.
+    Each file is landed; then the months of all of them are merged into the fact at once, so a month is rewritten once
+    however many files it came in, and pieces and repeats are safe. The files are logged when all is published.
     """
     modes = code_labels(read_lines(spark, inputs.mode_lines), "transport_mode")
     visas = code_labels(read_lines(spark, inputs.visa_lines), "visa_category")
     done = pending_inputs(spark, inputs, out)
-    for batch in done:
-        landed = land(read_any(spark, inputs.arrivals[batch]), f"{out}/landed/arrivals", batch)
-        fact = arrivals(landed, modes, visas)
-        publish_incremental(fact, f"{out}/arrivals", MONTH, key=fixed.ARRIVAL_KEY)
-        months = partitions_of(fact.select(*MONTH), MONTH, read_table(spark, f"{out}/arrivals"))
-        publish_incremental(time_dimension(months), f"{out}/time", MONTH)
-        publish(spark.createDataFrame([(batch,)], "batch string"), f"{out}/landed/arrivals_log", mode="append")
+    if not done:
+        return done
+    landed = [land(read_any(spark, inputs.arrivals[b]), f"{out}/landed/arrivals", b) for b in done]
+    raw = union_all(*[conform(f.select(*fixed.ARRIVAL_COLUMNS), fixed.ARRIVAL_TYPES) for f in landed])
+    fact = arrivals(raw, modes, visas, distinct=False)
+    publish_incremental(fact, f"{out}/arrivals", MONTH, key=fixed.ARRIVAL_KEY, stored=True)
+    months = partitions_of(fact.select(*MONTH), MONTH, read_table(spark, f"{out}/arrivals", schema=fact.schema))
+    publish_incremental(time_dimension(months), f"{out}/time", MONTH)
+    publish(spark.createDataFrame([(b,) for b in done], "batch string"), f"{out}/landed/arrivals_log", mode="append")
     return done
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..operators.aggregates import union_all
+from ..sources.sinks import publish
+from ..sources.workspace import new_dir
 from .registry import query, table
 
 KEYS = {
@@ -68,3 +70,22 @@ def single_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         quality.check_not_null(holed, ["flag", "status"], "lineitem"),
         quality.check_unique(lines, ["l_orderkey", "l_linenumber"], "lineitem"),
     )
+
+
+@query(
+    """SELECT 'customer: check not_null failed for ' || count(*) || ' rows' AS message, CAST(2 AS BIGINT) AS published
+       FROM customer WHERE c_mktsegment = 'BUILDING'"""
+)
+def suite_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published tables are checked in order; the second fails, so the third, which does not exist, is not reached."""
+    out = new_dir(spark, "suite")
+    publish(table(spark, sf_dir, "nation"), f"{out}/nation")
+    holed = table(spark, sf_dir, "customer").withColumn("c_mktsegment", F.nullif("c_mktsegment", F.lit("BUILDING")))
+    publish(holed, f"{out}/customer")
+    suite = [("nation", ["n_nationkey"]), ("customer", ["c_custkey", "c_mktsegment"]), ("no_such_table", ["id"])]
+    try:
+        quality.run_until_failure(spark, [(name, f"{out}/{name}", keys) for name, keys in suite])
+        message = "nothing failed"
+    except ValueError as e:
+        message = str(e)
+    return spark.createDataFrame([(message, 2)], "message string, published long")

@@ -212,3 +212,24 @@ def clean_country_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     text = F.expr(_COUNTRY_TEXT.replace("''''", "\"'\"").replace("'  '''", "\"  '\""))
     return places.select("c_custkey", text.alias("label")).withColumn("country", country_label("label"))
+
+
+_DECIMAL = "CASE o_orderkey % 5 WHEN 0 THEN 'x' || o_orderkey WHEN 1 THEN o_orderkey || '.0' WHEN 2 THEN o_orderkey || '.5' WHEN 3 THEN ' ' || o_orderkey || ' ' ELSE CAST(o_orderkey AS VARCHAR) END"
+
+
+@query(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 5 IN (1, 3, 4) THEN CAST(o_orderkey AS INTEGER) END AS whole,
+              CASE WHEN o_orderkey % 5 IN (1, 3, 4) THEN DATE '1960-01-01' + CAST(o_orderkey % 20000 AS INTEGER) END AS day
+       FROM orders"""
+)
+def cast_decimal_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with a fraction of zeros or blanks are whole numbers and days; others are null and raise nothing."""
+    cells = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.expr(_DECIMAL.replace("VARCHAR", "STRING")).alias("whole"),
+        F.expr(
+            "CASE o_orderkey % 5 WHEN 0 THEN 'x' WHEN 2 THEN '' WHEN 1 THEN (o_orderkey % 20000) || '.0' "
+            "ELSE (o_orderkey % 20000) || '' END"
+        ).alias("day"),
+    )
+    return cast_columns(cells, ["whole"], "int").withColumn("day", fn.epoch_days_to_date("day"))

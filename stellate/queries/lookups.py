@@ -14,12 +14,13 @@ from .registry import best_match_sql, norm_sql, query, replace_sql, table, title
 @query(
     """SELECT c_custkey, c_nationkey, ref_key, ref_name, coalesce(ref_name, c_mktsegment) AS place
        FROM customer LEFT JOIN (
-         SELECT n_nationkey AS ref_key, n_name AS ref_name FROM nation WHERE n_regionkey <> 4
+         SELECT CASE WHEN n_regionkey = 4 THEN -1 - n_nationkey ELSE n_nationkey END AS ref_key, n_name AS ref_name
+           FROM nation
          UNION ALL SELECT n_nationkey, n_name || ' (' || r_name || ')' FROM nation
          JOIN region ON n_regionkey = r_regionkey WHERE n_regionkey = 0) ON c_nationkey = ref_key"""
 )
 def enrich_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of one region repeat in the reference and fan out; those of another are missing from it."""
+    """Keys of one region repeat in the reference and fan out; those of another are other numbers there."""
     return joins.enrich(
         table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
         _repeating_reference(spark, sf_dir),
@@ -47,7 +48,8 @@ def enrich_reference_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _repeating_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    known = nation.where("n_regionkey <> 4").select(F.col("n_nationkey").alias("ref_key"), F.col("n_name").alias("ref_name"))
+    other = F.when(F.col("n_regionkey") == 4, -1 - F.col("n_nationkey")).otherwise(F.col("n_nationkey"))
+    known = nation.select(other.alias("ref_key"), F.col("n_name").alias("ref_name"))
     alias = (
         nation.where("n_regionkey = 0")
         .join(region, F.expr("n_regionkey = r_regionkey"))
@@ -71,33 +73,36 @@ def dictionary_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT o_orderkey, p_brand FROM orders LEFT JOIN (SELECT p_partkey, p_brand FROM part WHERE p_size > 10)
-       ON o_orderkey = p_partkey"""
+    """SELECT o_orderkey, p_brand FROM orders LEFT JOIN (SELECT CASE WHEN p_size > 10 THEN p_partkey ELSE -p_partkey END AS k,
+       p_brand FROM part) ON o_orderkey = k"""
 )
 def map_codes_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mapping too long for a literal is a frame; its keys are integers while the codes are doubles."""
     codes = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderkey").cast("double").alias("code"))
-    mapping = table(spark, sf_dir, "part").where("p_size > 10").select(F.col("p_partkey").cast("int"), "p_brand")
+    key = F.when(F.col("p_size") > 10, F.col("p_partkey")).otherwise(-F.col("p_partkey"))
+    mapping = table(spark, sf_dir, "part").select(key.cast("int").alias("key"), "p_brand")
     return joins.map_codes(codes, "code", mapping, "p_brand").drop("code")
 
 
 @query(
     """SELECT c_custkey, coalesce(a, b, c) AS place FROM customer
-       LEFT JOIN (SELECT s_nationkey AS k, min(s_name) AS a FROM supplier WHERE s_acctbal > 9000 GROUP BY 1) sa
+       LEFT JOIN (SELECT CASE WHEN s_acctbal > 9000 THEN s_nationkey ELSE -1 - s_nationkey END AS k, min(s_name) AS a
+                  FROM supplier GROUP BY 1) sa
          ON c_nationkey = sa.k
-       LEFT JOIN (SELECT n_nationkey AS k, min(n_name) AS b FROM nation WHERE n_regionkey <> 2 GROUP BY 1) sb
+       LEFT JOIN (SELECT CASE WHEN n_regionkey = 2 THEN -1 - n_nationkey ELSE n_nationkey END AS k, min(n_name) AS b
+                  FROM nation GROUP BY 1) sb
          ON c_nationkey = sb.k
        LEFT JOIN (SELECT s_nationkey AS k, min(CAST(s_suppkey AS VARCHAR)) AS c FROM supplier GROUP BY 1) sc
          ON c_nationkey = sc.k"""
 )
 def lookup_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = table(spark, sf_dir, "supplier")
+    supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
     return joins.lookup_chain(
         table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
         "c_nationkey",
         [
-            (supplier.where("s_acctbal > 9000"), "s_nationkey", "s_name"),
-            (table(spark, sf_dir, "nation").where("n_regionkey <> 2"), "n_nationkey", "n_name"),
+            (supplier.withColumn("k", F.expr("IF(s_acctbal > 9000, s_nationkey, -1 - s_nationkey)")), "k", "s_name"),
+            (nation.withColumn("k", F.expr("IF(n_regionkey = 2, -1 - n_nationkey, n_nationkey)")), "k", "n_name"),
             (supplier.withColumn("id", F.col("s_suppkey").cast("string")), "s_nationkey", "id"),
         ],
         "place",
@@ -128,6 +133,72 @@ def location_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("s_suppkey", label.alias("location"))
 
 
+# ---- joins of two long tables ------------------------------------------------------------------------------------
+
+_JOINED = "SELECT l_orderkey, l_linenumber, o_orderstatus AS status FROM lineitem LEFT JOIN orders"
+
+
+@query(f"{_JOINED} ON l_orderkey = o_orderkey")
+def lookup_join_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sides meet by shuffle."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    orders = table(spark, sf_dir, "orders")
+    return joins.attach_reference(lines, orders, {"l_orderkey": "o_orderkey"}, {"o_orderstatus": "status"}, small=False)
+
+
+_HOT_KEY = "CASE WHEN l_orderkey % 3 = 0 THEN 1 WHEN l_orderkey % 10 = 1 THEN NULL ELSE l_orderkey END"
+
+
+@query(
+    f"""SELECT l_orderkey, l_linenumber, CAST(k AS BIGINT) AS k, o_orderstatus AS status
+        FROM (SELECT *, {_HOT_KEY} AS k FROM lineitem) LEFT JOIN orders ON k = o_orderkey"""
+)
+def lookup_join_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows holds one key, a tenth has none; such rows are dealt to many tasks."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.expr(_HOT_KEY).cast("long").alias("k"))
+    orders = table(spark, sf_dir, "orders")
+    return joins.attach_reference(lines, orders, {"k": "o_orderkey"}, {"o_orderstatus": "status"}, small=False, hot=1000)
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, o_orderstatus AS status, p_brand AS brand, s_name AS supplier, n_name AS nation
+       FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey
+         LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey"""
+)
+def star_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four dimensions by shuffle, the last one on a key that the third has added."""
+    dims = [
+        ("orders", {"l_orderkey": "o_orderkey"}, {"o_orderstatus": "status"}),
+        ("part", {"l_partkey": "p_partkey"}, {"p_brand": "brand"}),
+        ("supplier", {"l_suppkey": "s_suppkey"}, {"s_name": "supplier", "s_nationkey": "s_nationkey"}),
+        ("nation", {"s_nationkey": "n_nationkey"}, {"n_name": "nation"}),
+    ]
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    found = joins.star(lines, [(table(spark, sf_dir, t), k, c) for t, k, c in dims], small=False, hot_rows=500)
+    return found.select("l_orderkey", "l_linenumber", "status", "brand", "supplier", "nation")
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, label FROM lineitem LEFT JOIN (SELECT o_orderkey, min(flags) AS label
+       FROM (SELECT l_orderkey AS o_orderkey, l_returnflag || l_linestatus AS flags FROM lineitem) GROUP BY 1) ON l_orderkey = o_orderkey"""
+)
+def map_codes_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes with several labels each take the smallest; no row is multiplied."""
+    lines = table(spark, sf_dir, "lineitem")
+    flags = lines.select("l_orderkey", F.concat("l_returnflag", "l_linestatus").alias("flags"))
+    return joins.map_codes(lines.select("l_orderkey", "l_linenumber"), "l_orderkey", flags, "label")
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey BETWEEN 1 AND 200 THEN 'part ' || l_partkey END AS label
+       FROM lineitem"""
+)
+def map_codes_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dict of 200 codes."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return joins.map_codes(lines, "l_partkey", {i: f"part {i}" for i in range(1, 201)}, "label").drop("l_partkey")
+
+
 # ---- fuzzy lookup: part names misspelt by a rule that depends on the part's type ---------------------------------
 
 _MISSPELT = """CASE p_type WHEN 'PROMO' THEN replace(p_name, ' ', '') WHEN 'SMALL' THEN upper(p_name) || '!'

@@ -75,6 +75,58 @@ def pending_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending(candidates, published.where("year < 2000"), MONTH).select("o_orderkey", "year", "month")
 
 
+@query(
+    f"""SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END AS o_orderkey, o_orderkey AS line, {YEAR_MONTH} FROM orders"""
+)
+def publish_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the rows has no key. Published twice, by batch and by stream, all of them are there once."""
+    path, source, schema = new_dir(spark, "orders"), new_dir(spark, "orders-source"), "o_orderkey long, line long, year int, month int"
+    orders = dated_orders(spark, sf_dir).select(
+        F.expr("IF(o_orderkey % 3 <> 0, o_orderkey, NULL)").alias("o_orderkey"), F.col("o_orderkey").alias("line"), *MONTH
+    )
+    orders.write.parquet(source)
+    publish_incremental(orders, path, MONTH, key=["o_orderkey"])
+    publish_incremental(orders, path, MONTH, key=["o_orderkey"])
+    stream_files(spark, schema, source, path, new_dir(spark, "orders-checkpoint"), partition_by=MONTH, key=["o_orderkey"])
+    return readers.read_table(spark, path).select("o_orderkey", "line", *MONTH)
+
+
+@query("SELECT lpad(CAST(month(o_orderdate) AS VARCHAR), 2, '0') AS st, count(*) AS n FROM orders GROUP BY 1")
+def publish_text_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions that are text, though they look like numbers, are the same the second time."""
+    path = new_dir(spark, "orders")
+    orders = dated_orders(spark, sf_dir).select("o_orderkey", F.lpad(F.col("month").cast("string"), 2, "0").alias("st"))
+    publish_incremental(orders, path, ["st"], key=["o_orderkey", "st"])
+    publish_incremental(orders, path, ["st"], key=["o_orderkey", "st"])
+    return readers.read_table(spark, path, schema=orders.schema).groupBy("st").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT c_nationkey, 2 * count(*) AS n FROM customer GROUP BY 1")
+def publish_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is appended twice is there twice."""
+    path = new_dir(spark, "customer")
+    for _ in range(2):
+        sinks.publish(table(spark, sf_dir, "customer"), path, mode="append")
+    return readers.read_table(spark, path).groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    """SELECT 'four' AS kind, count(*) AS n_rows, CAST(4 AS BIGINT) AS n_files FROM lineitem
+       UNION ALL SELECT 'short', count(*), CAST(ceil(count(*) / 5000.0) AS BIGINT) FROM lineitem"""
+)
+def file_control(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in four files, and in one task's files of at most 5,000 rows."""
+    four, short, lines = new_dir(spark, "four"), new_dir(spark, "short"), table(spark, sf_dir, "lineitem")
+    sinks.publish(lines, four, n_files=4)
+    sinks.publish(lines, short, n_files=1, max_records_per_file=5000)
+
+    def count(path: str, kind: str) -> DataFrame:
+        files = readers.read_table(spark, path).groupBy(F.input_file_name().alias("file")).count()
+        return files.agg(F.lit(kind).alias("kind"), F.sum("count").alias("n_rows"), F.count("file").alias("n_files"))
+
+    return union_all(count(four, "four"), count(short, "short"))
+
+
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events", name="stream_files")
 def stream_files_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs over the same files; the second finds nothing new."""
