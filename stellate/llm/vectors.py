@@ -7,7 +7,8 @@ residual and the distance ``e`` between itself and what the code stands for.
 A query probes every list whose border is near enough. A neighbour with cosine ``c`` is at most ``r = sqrt(2 - 2c)`` away
 (vectors are scaled to length 1), and how far that leads towards another list is the projection of that step on one
 direction, whose spread is ``r / sqrt(d)`` in d dimensions. Lists whose border is within ``MARGIN`` such spreads are probed.
-In a list the distances to all codes come from a table per subspace, and a member stays if its distance is at most
+A pair is found from either end, and both ends count it; so it is lost only if the step crosses the border by more than
+``MARGIN`` spreads on both sides, that is over twice the margin. In a list the distances to all codes come from a table per subspace, and a member stays if its distance is at most
 ``r + e``. As the code lies ``e`` from the member, this drops no neighbour (triangle inequality); the rest is verified
 by the exact cosine. So all that the index can miss are neighbours in lists not probed; tests measure the recall.
 
@@ -24,12 +25,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, IntegerType, StructField, StructType
 
 from ..sources.workspace import store
 from .components import labelled
 
 COSINE = 0.9
-MARGIN = 4.0
+MARGIN = 2.0
 #: Vectors that the index is fitted on for each list, and lists at most: the sample is 32 x 2048 vectors at most.
 PER_LIST, MOST_LISTS = 32, 2048
 CODES = 256
@@ -61,9 +63,10 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 10, seed: int = 7) -> np.ndarray
     for _ in range(rounds):
         own = _nearest(x, centroids)
         count = np.bincount(own, minlength=len(centroids))
-        total = np.zeros_like(centroids)
-        np.add.at(total, own, x)
-        centroids = total[count > 0] / count[count > 0, None]
+        by_list = np.argsort(own, kind="stable")
+        used = count[count > 0]
+        total = np.add.reduceat(x[by_list], np.append(0, np.cumsum(used)[:-1]), axis=0)
+        centroids = total / used[:, None]
     return centroids
 
 
@@ -105,7 +108,12 @@ def candidates(index: Index, centroid: int, asked: np.ndarray, codes: np.ndarray
 
 # ---- search ------------------------------------------------------------------------------------------------------
 
-ENTRY = "cid long, weight long, list int, codes binary, error double, probes array<int>, vector array<double>"
+ENTRY = [
+    StructField("list", IntegerType()),
+    StructField("codes", BinaryType()),
+    StructField("error", DoubleType()),
+    StructField("probes", ArrayType(IntegerType())),
+]
 FOUND = "a long, b long, n long"
 
 
@@ -124,10 +132,10 @@ def _entries(index: Index, margin: float):
                 x = _unit(batch.column("embedding"))
                 own, codes, error, probes = encode(index, x, margin)
                 columns = [
-                    batch.column("cid"), batch.column("weight"), pa.array(own, pa.int32()), pa.array([c.tobytes() for c in codes], pa.binary()),
-                    pa.array(error), pa.array(probes, pa.list_(pa.int32())), pa.array(list(x), pa.list_(pa.float64())),
+                    batch.column("cid"), batch.column("weight"), batch.column("embedding"), pa.array(own, pa.int32()),
+                    pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error), pa.array(probes, pa.list_(pa.int32())),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["cid", "weight", "list", "codes", "error", "probes", "vector"])
+                yield pa.RecordBatch.from_arrays(columns, ["cid", "weight", "embedding", "list", "codes", "error", "probes"])
 
     return run
 
@@ -151,7 +159,7 @@ class _Group:
         self.list = int(table.column("list")[0].as_py())
         self.codes = np.frombuffer(b"".join(table.column("codes").to_pylist()), dtype=np.uint8).reshape(len(self.cid), -1)
         self.error = table.column("error").to_numpy()
-        self.vector = table.column("vector").combine_chunks().flatten().to_numpy().reshape(len(self.cid), -1)
+        self.vector = _unit(table.column("embedding").combine_chunks())
         self.probed = np.zeros((len(self.cid), len(self.index.centroids)), dtype=bool)
         probes = table.column("probes").to_pylist()
         self.probed[np.repeat(np.arange(len(probes)), [len(p) for p in probes]), np.concatenate([np.array(p, dtype=np.int64) for p in probes])] = True
@@ -175,7 +183,7 @@ class _Group:
         for at in range(0, batch.num_rows, step):
             own = batch.slice(at, step)
             cid, weight, lists = (own.column(c).to_numpy() for c in ("cid", "weight", "list"))
-            vector = own.column("vector").flatten().to_numpy().reshape(len(cid), -1)
+            vector = _unit(own.column("embedding"))
             q, m = candidates(self.index, self.list, vector, self.codes, self.error, self.reach)
             other = cid[q] != self.cid[m]
             q, m = q[other], m[other]
@@ -233,7 +241,7 @@ def _links(classes: DataFrame, cosine: float, margin: float, lists: int | None)
     n = classes.count()
     if n < 2:
         return session.createDataFrame([], FOUND)
-    lists = min(MOST_LISTS, lists or max(1, 1 << int(np.log2(np.sqrt(n)))))
+    lists = min(MOST_LISTS, lists or 1 << round(np.log2(2 * np.sqrt(n))))
     share = min(1.0, PER_LIST * lists / n)
     # expected PER_LIST x lists rows, at most 65,536: the sample that the index is fitted on
     chosen = classes.where(F.pmod(F.xxhash64("embedding"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).select("embedding")
@@ -242,7 +250,8 @@ def _links(classes: DataFrame, cosine: float, margin: float, lists: int | None)
     x /= np.abs(x).max(axis=1, keepdims=True)
     index = fit(x / np.sqrt((x**2).sum(axis=1, keepdims=True)), lists)
     reach = float(np.sqrt(2 - 2 * cosine)) * min(1.0, margin / np.sqrt(x.shape[1]))
-    entries = store(classes.mapInArrow(_entries(index, reach), ENTRY), "entries")
+    kind = StructType([*[classes.schema[c] for c in ("cid", "weight", "embedding")], *ENTRY])
+    entries = store(classes.mapInArrow(_entries(index, reach), kind), "entries")
     asked = entries.select("*", F.explode("probes").alias("at"))
     # a row per list, of which there are MOST_LISTS at most
     sizes = entries.groupBy("list").agg(F.count("*").alias("n")).select(F.col("list").alias("at"), F.ceil(F.col("n") / MEMBERS).alias("mb"))
@@ -250,7 +259,7 @@ def _links(classes: DataFrame, cosine: float, margin: float, lists: int | None)
     blocks = F.broadcast(store(sizes.join(queries, "at"), "blocks"))
     spread = F.pmod(F.xxhash64("cid"), F.col("mine")).cast("long")
     g = F.col("at").cast("long") * (1 << 40) + F.col("i") * (1 << 20) + F.col("j")
-    kept = ["cid", "weight", "list", "codes", "error", "probes", "vector"]
+    kept = ["cid", "weight", "list", "codes", "error", "probes", "embedding"]
     members = (
         entries.withColumn("at", F.col("list")).join(blocks, "at").withColumn("mine", F.col("mb")).withColumn("i", spread)
         .withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.col("qb") - 1)))
@@ -260,7 +269,7 @@ def _links(classes: DataFrame, cosine: float, margin: float, lists: int | None)
     asking = (
         asked.join(blocks, "at").withColumn("mine", F.col("qb")).withColumn("j", spread)
         .withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mb") - 1)))
-        .select(g.alias("g"), F.lit(1).cast("long").alias("role"), "cid", "weight", "list", *nothing, "vector")
+        .select(g.alias("g"), F.lit(1).cast("long").alias("role"), "cid", "weight", "list", *nothing, "embedding")
     )
     met = members.unionByName(asking).repartition("g").sortWithinPartitions("g", "role")
     return met.mapInArrow(_search(index, cosine), FOUND)
