@@ -3,10 +3,13 @@
 The best reference value has the highest score, then the highest edit score, then comes first in order.
 
 How it runs: labels are made distinct, equal normalised labels are settled by an equi-join, and the rest are compared
-with the reference list *packed in arrays*, so each task keeps one running best per label and no (label, reference) pair
-ever becomes a row. A short list (the normal case: a few hundred names) is one array. A longer one is cut into
-blocks by length; with a score threshold a label visits only the blocks whose length allows it to reach the threshold by
-edit score, and an equi-join on the rarest words brings in what only the word score can find. Both ways are exact.
+with the reference list. A short list (the normal case: a few hundred names) is *packed in one array*, so each task keeps
+one running best per label and no (label, reference) pair ever becomes a row. For a longer one, equi-joins bring together
+the pairs that can reach the threshold: on the rarest bigrams for the edit score (strings within d edits share all but 2d
+of their bigrams, so one of the 2d + 1 rarest is common), and on the rarest words for the word score. Without a threshold
+the same joins settle every label that has a reference of score 70; only the others are compared with all of the list,
+which is cut into blocks for that. So they are where a low threshold lets strings without a common bigram pass. All ways
+are exact.
 
 The finished label mapping is stored in the shared folder before it meets the long table: it is computed once, its size is
 then known, and a small one is broadcast, so the long table is not shuffled for it.
@@ -28,6 +31,8 @@ MAX_PACKED = 2_000
 BLOCK_ROWS = 500
 LENGTH_STEP = 4
 LABEL_SALTS = 64
+#: Threshold of the first search where none is given.
+LIKELY = 70
 
 
 def _reference(ref: DataFrame, ref_col: str, stop_words: Sequence[str]) -> DataFrame:
@@ -153,15 +158,63 @@ def _rare_first(rows: DataFrame, freq: DataFrame, key: str, min_score: int) -> D
     ).select(key, f"{key}_size", (F.col("pos") < F.col(f"{key}_prefix")).alias(f"{key}_rare"), F.col("e.word").alias("word"))
 
 
-def _scan_words(labels: DataFrame, refs: DataFrame, min_score: int) -> DataFrame:
-    """(norm, best) among the references that share enough words with the label."""
+def _shared_bigrams(longest: int, min_score: int) -> int:
+    """Bigrams that two strings share at least if the longer one has that length and their edit score is high enough."""
+    return longest - 1 - 2 * ((100 - min_score) * longest // 100)
+
+
+def _bigrams_suffice(min_score: int) -> bool:
+    """True if all pairs with this edit score share a bigram (but for equal ones, which are settled before)."""
+    return min_score > 50 and all(_shared_bigrams(m, min_score) >= 1 for m in range(2, 200))
+
+
+def _numbered_bigrams(norm: Column) -> Column:
+    """Bigrams of a text; the second occurrence of one differs from its first."""
+    n = F.length(norm)
+    pairs = F.when(n >= 2, F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(norm, i, F.lit(2))))
+    earlier = lambda x, i: F.size(F.filter(F.slice(pairs, F.lit(1), i), lambda y: y == x))
+    return F.transform(pairs, lambda x, i: F.concat(x, earlier(x, i).cast("string")))
+
+
+def _bigram_prefix(rows: DataFrame, key: str, freq: DataFrame, min_score: int) -> DataFrame:
+    """(key, length, bigram) for the rarest bigrams of each row, of which a partner must have one among its own."""
+    n = F.length(key)
+    grams = rows.select(key, F.explode(_numbered_bigrams(F.col(key))).alias("gram"))
+    ranked = (
+        lookup_join(grams, freq, ["gram"])
+        .groupBy(key)
+        .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "gram"))).alias("g"))
+    )
+    upto = F.sequence(n, F.floor(n * 100 / min_score).cast("int"))
+    shared = F.array_min(F.transform(upto, lambda m: m - 1 - 2 * F.floor((100 - min_score) * m / 100)))
+    prefix = F.slice("g", F.lit(1), (F.size("g") - shared + 1).cast("int"))
+    return ranked.select(key, n.alias(f"{key}_length"), F.explode(prefix).alias("e")).select(key, f"{key}_length", F.col("e.gram").alias("gram"))
+
+
+def _bigram_pairs(labels: DataFrame, refs: DataFrame, min_score: int) -> DataFrame:
+    """(norm, other) for all pairs that can reach the threshold by their edit score."""
+    theirs = refs.select(F.col("norm").alias("other"))
+    freq = theirs.select(F.explode(_numbered_bigrams(F.col("other"))).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("freq"))
+    mine = _bigram_prefix(labels.select("norm"), "norm", freq, min_score)
+    met = mine.join(_bigram_prefix(theirs, "other", freq, min_score), "gram")
+    shorter, longer = F.least("norm_length", "other_length"), F.greatest("norm_length", "other_length")
+    return met.where(100 * shorter >= min_score * longer).select("norm", "other").distinct()
+
+
+def _scan_pairs(labels: DataFrame, refs: DataFrame, min_score: int, bigrams: bool) -> DataFrame:
+    """(norm, best) among the references that share enough words with the label, or enough bigrams."""
     freq = _word_frequencies(refs)
     mine = _rare_first(labels.select("norm", "words"), freq, "norm", min_score)
     theirs = _rare_first(refs.select(F.col("norm").alias("other"), "words"), freq, "other", min_score)
     # Each join has a rare-word side, so a word that a third of all labels share does not pair them all.
     label_smaller = mine.where("norm_rare").join(theirs, "word").where("norm_size <= other_size")
     other_smaller = mine.join(theirs.where("other_rare"), "word").where("other_size <= norm_size")
-    pairs = label_smaller.select("norm", "other").union(other_smaller.select("norm", "other")).distinct()
+    pairs = label_smaller.select("norm", "other").union(other_smaller.select("norm", "other"))
+    if min_score > TOKEN_WEIGHT:
+        pairs = pairs.limit(0)  # words alone don't reach it
+    if bigrams:
+        pairs = pairs.union(_bigram_pairs(labels, refs, min_score))
+    pairs = pairs.distinct()
     mine_full = labels.select("norm", "words")
     theirs_full = refs.select("value", F.col("norm").alias("other"), F.col("words").alias("other_words"))
     edit = edit_score(F.col("norm"), F.col("other"))
@@ -178,9 +231,17 @@ def _scan_long_list(
     labels: DataFrame, refs: DataFrame, n_refs: int, min_score: int | None, broadcast_blocks: bool
 ) -> DataFrame:
     open_labels = labels.where(F.col("exact").isNull()).select("norm", "words").distinct()
-    scans = [_scan_blocks(open_labels, refs, n_refs, min_score, broadcast_blocks)]
-    if min_score and min_score <= TOKEN_WEIGHT:  # without a threshold every block was visited
-        scans.append(_scan_words(open_labels, refs, min_score))
+    if min_score is None:
+        likely = _scan_pairs(open_labels, refs, LIKELY, bigrams=True).groupBy("norm").agg(F.min("best").alias("best"))
+        settled = store(likely.where(F.col("best.neg_score") <= -LIKELY), "likely-matches")
+        others = open_labels.join(settled, "norm", "left_anti")
+        scans = [settled, _scan_blocks(others, refs, n_refs, None, broadcast_blocks)]
+    elif _bigrams_suffice(min_score):
+        scans = [_scan_pairs(open_labels, refs, min_score, bigrams=True)]
+    else:
+        scans = [_scan_blocks(open_labels, refs, n_refs, min_score, broadcast_blocks)]
+        if min_score <= TOKEN_WEIGHT:
+            scans.append(_scan_pairs(open_labels, refs, min_score, bigrams=False))
     best = reduce(DataFrame.unionByName, scans).groupBy("norm").agg(F.min("best").alias("best"))
     return labels.join(best, "norm", "left")
 
