@@ -24,6 +24,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, Stru
 from ..sources.workspace import store
 from .arrow import offsets, slices
 from .columns import neutral
+from .sample import labelled
 from .words import Table, buffer_of, hashes, runs
 
 CATEGORIES = ("severe", "repeated", "toxic")
@@ -38,7 +39,7 @@ PIECES = (0, 3, 4, 5, 6, -4, -5, -6)
 LEAST_DOCUMENTS, LEAST_SHARE, LEAST_LOG_ODDS, MOST_FEATURES = 3, 0.004, 3.0, 16_384
 KEPT_WORDS = 1_000_000
 PARTS = 16
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 _WORD = np.zeros(256, dtype=bool)
 _WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
@@ -249,14 +250,10 @@ def choose(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", rows: int = TRAIN_ROWS) -> tuple[np.ndarray, Chain]:
     """Kept features and chain, from the labelled documents."""
-    usable = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where(F.col("key").isNotNull() & F.col("label").isin(0, 1))
-    usable = usable.groupBy("key").agg(F.max("label").alias("label"))
-    share = min(1.0, rows / max(usable.count(), 1))
-    sample = store(usable.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))), "labels")
+    sample = labelled(docs, labels, key, label, rows)
     texts = docs.select(F.col(key).alias("key"), F.col("text").cast("string").alias("text"))
-    # the sampled labels are about TRAIN_ROWS rows of two numbers, whatever the corpus; a document that is there several times
-    # is learned from once
-    known = texts.join(F.broadcast(sample), "key").groupBy("key").agg(F.min("label").alias("label"), F.first("text").alias("text"))
+    # the sampled labels are about TRAIN_ROWS rows of two numbers, whatever the corpus
+    known = texts.join(F.broadcast(sample), "key").select("key", "label", "text")
     known = store(known.withColumn("fold", F.pmod(F.xxhash64(F.col("key").cast("string")), F.lit(FOLDS)).cast("int")), "labelled")
     totals = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
     documents = np.array([totals.get(0, 0), totals.get(1, 0)])
@@ -296,7 +293,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFra
     """``key``, the probability of each category (``severe``, ``repeated``, ``toxic``) and ``is_toxic`` for every document.
 
     Null and empty texts have no features and are as likely toxic as that makes them. Repeated rows are scored each. A label
-    that is repeated counts as toxic if one of them does. Without labelled toxic documents nothing is toxic. An empty table
+    that is repeated counts as toxic if one of them does; ids that several documents have are not learned from. Without labelled toxic documents nothing is toxic. An empty table
     gives no rows.
     """
     chosen, chain = fit(docs, labels, key)
