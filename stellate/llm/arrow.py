@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -32,7 +32,7 @@ POWER = 0.25
 UNKNOWN = 0.1
 #: Rows that a host's prior is worth before it has rows of its own, and the least posterior to accept.
 HOST_WEIGHT, DOMAIN_WEIGHT, LEAST = 5.0, 20.0, 0.5
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 PARTS = 16
 
 _CLEAN = np.full(256, 32, dtype=np.uint8)
@@ -155,12 +155,14 @@ def _softmax(log: Column) -> Column:
 def _sums(df: DataFrame, by: str, size: int) -> DataFrame:
     """Sum of the texts' posteriors for each value of a column."""
     total = F.array(*[F.sum(F.col("_own")[i]) for i in range(size)])
-    return df.where(F.col(by).isNotNull()).groupBy(by).agg(total.alias(f"_{by}_n"))
+    sums = df.where(F.col(by).isNotNull()).groupBy(by).agg(total.alias(f"_{by}_n"))
+    # stored, so that Spark knows its size before it plans the join: texts are not shuffled for a small table
+    return store(sums, f"{by}-evidence")
 
 
 def identify(rows: DataFrame, scores: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
-    """``rows`` (with the text scores, ``declared``, ``suffix``, ``domain`` and ``host``, each may be null) with ``language``,
-    ``probability`` and ``accepted``. ``scores`` are the stored rows of which the evidence is learned.
+    """``rows`` (with the text scores, and ``declared``, ``suffix``, ``domain`` and ``host``, each of which may be null or
+    left out) with ``language``, ``probability`` and ``accepted``. ``scores`` are the stored rows of which the evidence is learned.
 
     A row is accepted if its text has a letter, if its best language is at least as likely as ``LEAST``, and unless nearly all
     its four-grams are unknown in that language. Without four-grams the other evidence decides.
@@ -172,7 +174,8 @@ def identify(rows: DataFrame, scores: DataFrame, languages: tuple[str, ...] = LA
     prior = [((x or 0.0) + 1) / total for x in overall]
     out = rows.withColumn("_own", F.when(F.col("_grams") > 0, _softmax(F.col("_text"))).otherwise(F.array(*[F.lit(0.0)] * size)))
     log = F.col("_text")
-    for by in ("declared", "suffix"):
+    there = [c for c in ("declared", "suffix", "domain", "host") if c in rows.columns]
+    for by in [c for c in ("declared", "suffix") if c in there]:
         values = _sums(known, by, size)
         out = out.join(values, by, "left")
         # P(value | language) up to a factor: the value's sums over the language's, one row of its own language added
@@ -180,13 +183,12 @@ def identify(rows: DataFrame, scores: DataFrame, languages: tuple[str, ...] = LA
         agrees = [F.lit(1.0) if by == "suffix" else F.when(_primary(F.col(by)) == x, 2.0).otherwise(0.5) for x in languages]
         said = F.array(*[F.log((o + a) / F.lit(prior[i] * total)) for i, (o, a) in enumerate(zip(own, agrees))])
         log = F.zip_with(log, F.when(F.col(f"_{by}_n").isNotNull(), said).otherwise(F.array(*[F.lit(0.0)] * size)), lambda a, b: a + b)
-    out = out.join(_sums(known, "domain", size), "domain", "left").join(_sums(known, "host", size), "host", "left")
-    domain, host = [], []
-    for i in range(size):
-        own, zero = F.col("_own")[i], F.lit(0.0)
-        n = [F.greatest(F.coalesce(F.col(c)[i], zero) - own, zero) for c in ("_domain_n", "_host_n")]
-        domain.append(n[0] + DOMAIN_WEIGHT * prior[i])
-        host.append(n[1])
+    for by in [c for c in ("domain", "host") if c in there]:
+        out = out.join(_sums(known, by, size), by, "left")
+    zero = F.lit(0.0)
+    others = lambda by, i: F.greatest(F.coalesce(F.col(f"_{by}_n")[i] - F.col("_own")[i], zero), zero) if by in there else zero
+    domain = [others("domain", i) + DOMAIN_WEIGHT * prior[i] for i in range(size)]
+    host = [others("host", i) for i in range(size)]
     domain_sum = sum(domain[1:], domain[0])
     host_sum = sum(host[1:], host[0]) + HOST_WEIGHT
     place = F.array(*[F.log((h + HOST_WEIGHT * d / domain_sum) / host_sum) for h, d in zip(host, domain)])
@@ -227,9 +229,8 @@ def keep_identified(docs: DataFrame, languages: tuple[str, ...] = LANGUAGES) ->
     """Rows of ``docs`` (text, lang as declared, source as host) whose language is accepted, with its columns."""
     plain, back = neutral(docs, "text")
     lang, source = (plain.columns[docs.columns.index(c)] for c in ("lang", "source"))
-    none = F.lit(None).cast("string")
-    rows = plain.withColumns({"declared": _primary(F.col(lang)), "suffix": none, "domain": none, "host": F.col(source).cast("string")})
+    rows = plain.withColumns({"declared": _primary(F.col(lang)), "host": F.col(source).cast("string")})
     model = text_model(docs.select("text", "lang"), languages)
-    narrow = rows.select("text", "declared", "suffix", "domain", "host")
+    narrow = rows.select("text", "declared", "host")
     scores = store(text_scores(narrow, model, keep_text=False), "document-scores")
     return back(identify(text_scores(rows, model, keep_text=True), scores, languages).where("accepted"))

@@ -50,7 +50,7 @@ def pack(
     w = np.array(weights)
     free = np.zeros((max(n, 1), 3))  # of open sequences
     name = np.zeros(max(n, 1), dtype=np.int64)
-    opened = closed = 0
+    opened = 0
     sequence, offset = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
     used: list[int] = []
     order = np.lexsort((np.arange(n), -lengths))
@@ -79,7 +79,6 @@ def pack(
         if free[place, 0] < least or free[place, 1] < 1 or free[place, 2] < least * least:
             opened -= 1  # nothing fits any more: the last open sequence takes the place
             free[place], name[place] = free[opened], name[opened]
-            closed += 1
     return sequence, offset
 
 

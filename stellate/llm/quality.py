@@ -21,9 +21,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
-from ..sources.workspace import store
 from .arrow import slices
 from .columns import neutral
+from .sample import labelled
 from .words import buffer_of, hashes, runs
 
 BUCKET_BITS, SIZE, NONZERO, WINDOW = 15, 64, 2, 2
@@ -34,7 +34,8 @@ ROWS = BUCKETS + 2
 BLOCK = 512
 TRAIN_ROWS = 20_000
 THRESHOLD = 0.3
-CHUNK = 1 << 20
+GATHERED = 1 << 16
+CHUNK = 1 << 19
 
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[33:127] = 2
@@ -132,10 +133,10 @@ def pool(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
     n = np.diff(first)
     out = np.zeros((len(n), SIZE + 3), dtype=np.float64)
     text = np.repeat(np.arange(len(n)), n)
-    for at in range(0, len(bucket), CHUNK // 16):
-        own = text[at : at + CHUNK // 16]
+    for at in range(0, len(bucket), GATHERED):
+        own = text[at : at + GATHERED]
         starts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        out[own[starts], :SIZE] += np.add.reduceat(vectors[bucket[at : at + CHUNK // 16]], starts, axis=0)
+        out[own[starts], :SIZE] += np.add.reduceat(vectors[bucket[at : at + GATHERED]], starts, axis=0)
     for k, (flag, marker) in enumerate(((capitals, CAPITALS), (again, REPEATED))):
         count = np.bincount(text[flag], minlength=len(n))
         out[:, :SIZE] += count[:, None] * vectors[marker]
@@ -214,10 +215,7 @@ def held_out(key: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality", rows: int = TRAIN_ROWS) -> tuple[np.ndarray, Network]:
     """Word vectors of all texts of ``docs``, and the network fitted on labelled ones."""
     vectors = word_vectors(contexts(docs))
-    usable = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label")).where(F.col("key").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("key")))
-    usable = usable.groupBy("key").agg(F.min("label").alias("label"))
-    share = min(1.0, rows / max(usable.count(), 1))
-    chosen = store(usable.where(F.pmod(F.xxhash64("key"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))), "labels")
+    chosen = labelled(docs, labels, key, label, rows, ~held_out(F.col("key")))
 
     def pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", CHUNK):
@@ -228,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "q
     # the chosen labels are about TRAIN_ROWS rows of two numbers, whatever the corpus
     known = texts.join(F.broadcast(chosen), "key").select("key", "label", "text")
     kind = StructType([*chosen.schema.fields, StructField("x", BinaryType())])
-    found = known.mapInArrow(pooled, kind).groupBy("key").agg(F.min(F.struct("label", "x")).alias("v")).orderBy("key").select("v.*").collect()
+    found = known.mapInArrow(pooled, kind).orderBy("key").select("label", "x").collect()
     x = np.array([np.frombuffer(r["x"], dtype=np.float64) for r in found]).reshape(-1, SIZE + 3)
     return vectors, train(x, np.array([r["label"] for r in found], dtype=np.int64))
 
@@ -247,8 +245,8 @@ def scored(docs: DataFrame, vectors: np.ndarray, network: Network) -> DataFrame:
 def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
     """``key``, ``held_out``, ``score`` (0 to 1, higher: label 1 likelier) and ``predicted`` of every document.
 
-    Null and empty texts are scored like texts without tokens. Repeated ids are scored each; a repeated label counts once, the
-    least of them. Without labels of both kinds all scores are the labels' share. An empty table gives no rows.
+    Null and empty texts are scored like texts without tokens. Repeated ids are scored each, and not learned from; a repeated
+    label counts once, the greater one. Without labels of both kinds all scores are the labels' share. An empty table gives no rows.
     """
     vectors, network = fit(docs, labels, key)
     out = scored(docs.select(F.col(key), F.col("text").cast("string").alias("text")), vectors, network)

@@ -19,7 +19,7 @@ from .words import LONGEST, Table, buffer_of, hashes, runs
 
 VOCABULARY = "word_bpe_49k.json"
 #: Pieces that a worker keeps at most; past it, it starts with an empty table again.
-KEPT = 2_000_000
+KEPT = 1_000_000
 #: A control character as a word of its own marks where one piece's ids end when many are encoded in one call.
 MARK = b"\x01"
 JOINED = 500
@@ -64,7 +64,7 @@ class Encoder:
 
     def _clear(self) -> None:
         self.table = Table()
-        self.ids = np.zeros(1 << 18, dtype=np.uint32)
+        self.ids = np.zeros(1 << 18, dtype=np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
         self.start = np.zeros(1 << 16, dtype=np.int64)
         self.length = np.zeros(1 << 16, dtype=np.int32)
         self.used = 0
@@ -87,7 +87,7 @@ class Encoder:
             held = data.tobytes()
             self._add([held[a:b] for a, b in zip(start[new].tolist(), end[new].tolist())])
         length = self.length[rows].astype(np.int64)
-        ids = self.ids[ragged_take(self.start[rows], length)]
+        ids = self.ids[ragged_take(self.start[rows], length)].astype(np.uint32)
         counts = np.diff(offsets(length)[np.searchsorted(start, at)])
         return (ids, counts) if not odd else _with(ids, counts, whole)
 
