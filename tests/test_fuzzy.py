@@ -121,3 +121,20 @@ def test_any_column_name_will_do(spark, name):
     ref = spark.createDataFrame([("CHILE",)], "name string")
     for packed in (2_000, 0):
         assert fuzzy_lookup(df, name, ref, "name", max_packed=packed).collect() == [("Chile", 1, "CHILE", 100)]
+
+
+def test_bigrams_bring_together_few_pairs_and_all_that_are_near(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    refs = sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 14))) for _ in range(400)})
+    labels = sorted({norm(damage(rng, rng.choice(refs))) for _ in range(200)} - {""})
+    as_frame = lambda values: spark.createDataFrame([(v,) for v in values], "norm string").withColumn("value", F.col("norm"))
+    pairs = {(r.norm, r.other) for r in fuzzy._bigram_pairs(as_frame(labels), as_frame(refs), 70).collect()}
+    near = {(a, b) for a in labels for b in refs if a != b and 100 * (max(len(a), len(b)) - levenshtein(a, b)) // max(len(a), len(b)) >= 70}
+    assert near <= pairs
+    assert len(pairs) < 0.1 * len(labels) * len(refs)
+
+
+def test_where_bigrams_suffice():
+    assert fuzzy._bigrams_suffice(70) and fuzzy._bigrams_suffice(90) and not fuzzy._bigrams_suffice(50) and not fuzzy._bigrams_suffice(55)
