@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, packing, quality, repair, sharding, simhash, toxicity, vectors, warc
+from . import decontaminate, language, packing, quality, repair, rules, sharding, simhash, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -119,3 +119,65 @@ def op9_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_repair_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as read back from Re-Pair files."""
     return repair.token_files(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document, and whether it is kept by the base rules and the thresholds of its language and source."""
+    found = rules.adaptive_rules(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _share(part: str, whole: str, unit: int) -> str:
+    return f"CASE WHEN {whole} > 0 THEN {unit} * {part} // {whole} ELSE 0 END"
+
+
+def _rules_sql() -> str:
+    """Measures in one row per document, sketches as bucket counts at three levels, quartiles from running counts."""
+    spread = lambda m: f"greatest({m}_q75 - {m}_q25, {rules.LEAST_SPREAD[m]})"
+    ends = [f"{m}_q75 + {rules.FENCE} * {spread(m)} AS {m}_high" for m in rules.LEAST_SPREAD]
+    ends += [f"{m}_q25 - {rules.FENCE} * {spread(m)} AS {m}_low" for m in rules.TWO_SIDED]
+    names = [e.rpartition(" AS ")[2] for e in ends]
+    quarters = [f"max(CASE WHEN m = '{m}' THEN q{q} END) AS {m}_q{q}" for m in rules.LEAST_SPREAD for q in (25, 75)]
+    pairs = " UNION ALL ".join(f"SELECT lang, source, '{m}' AS m, {m} AS v FROM measured WHERE NOT base_failed" for m in rules.LEAST_SPREAD)
+    level = lambda k, lang, source: f"SELECT {k} AS lv, {lang} AS lang, {source} AS source, m, bucket, count(*) AS n FROM buckets GROUP BY ALL"
+    pick = [f"coalesce(a.{c}, b.{c}, o.{c}) AS {c}" for c in names]
+    fits = [f"{m} <= {m}_high" for m in rules.LEAST_SPREAD] + [f"{m} >= {m}_low" for m in rules.TWO_SIDED]
+    some = f"n_rows >= {rules.MIN_ROWS}"
+    return rf"""
+WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^ 	-]+') AS words,
+             list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^ 	-]')) AS filled FROM t),
+windows AS (SELECT doc_id, i, array_to_string(words[i : i + 7], ' ') AS g
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) > 7)),
+twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY doc_id),
+counts AS (SELECT w.doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+                  CAST(length(regexp_replace(text, '[ 	-]+', '', 'g')) AS BIGINT) AS word_chars,
+                  CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                  CAST(len(filled) - len(list_distinct(filled)) AS BIGINT) AS n_dup_lines,
+                  CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(string_split(text, chr(10))) AS n_lines
+           FROM w LEFT JOIN covered USING (doc_id)),
+measured AS (SELECT *, n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MOST_REPEATED} * n_words AS base_failed,
+                    {_share('n_symbols', 'word_chars', 10000)} AS symbol_share, {_share('word_chars', 'n_words', 100)} AS word_length,
+                    {_share('n_dup_lines', 'n_lines', 10000)} AS dup_line_share FROM counts),
+buckets AS (SELECT lang, source, m, (v >> greatest(length(bin(v)) - {rules.BITS}, 0)) << greatest(length(bin(v)) - {rules.BITS}, 0) AS bucket
+            FROM ({pairs})),
+sketches AS ({level(0, 'lang', 'source')} UNION ALL {level(1, 'lang', 'NULL')} UNION ALL {level(2, 'NULL', 'NULL')}),
+running AS (SELECT *, sum(n) OVER (PARTITION BY lv, lang, source, m ORDER BY bucket) AS upto,
+                   sum(n) OVER (PARTITION BY lv, lang, source, m) AS n_rows FROM sketches),
+quarters AS (SELECT lv, lang, source, m, n_rows, min(CASE WHEN 100 * upto >= 25 * n_rows THEN bucket END) AS q25,
+                    min(CASE WHEN 100 * upto >= 75 * n_rows THEN bucket END) AS q75 FROM running GROUP BY ALL),
+fences AS (SELECT lv, lang, source, n_rows, {', '.join(ends)}
+           FROM (SELECT lv, lang, source, n_rows, {', '.join(quarters)} FROM quarters GROUP BY ALL)),
+chosen AS (SELECT measured.*, {', '.join(pick)} FROM measured
+           LEFT JOIN fences a ON a.lv = 0 AND a.{some} AND a.lang IS NOT DISTINCT FROM measured.lang AND a.source IS NOT DISTINCT FROM measured.source
+           LEFT JOIN fences b ON b.lv = 1 AND b.{some} AND b.lang IS NOT DISTINCT FROM measured.lang
+           LEFT JOIN fences o ON o.lv = 2)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       coalesce(NOT base_failed AND {' AND '.join(fits)}, FALSE) AS kept
+FROM chosen
+"""
+
+
+SQL["op11_adaptive_rules"] = _rules_sql()
