@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, packing, quality, repair, rules, sharding, simhash, toxicity, vectors, warc
+from . import decontaminate, language, merkle, packing, quality, repair, rules, sharding, simhash, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -146,14 +146,17 @@ def _rules_sql() -> str:
     some = f"n_rows >= {rules.MIN_ROWS}"
     return rf"""
 WITH t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
-w AS (SELECT *, regexp_extract_all(text, '[^ 	-]+') AS words,
-             list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^ 	-]')) AS filled FROM t),
+w AS (SELECT *, regexp_extract_all(text, '[^ 	-
+]+') AS words,
+             list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^ 	-
+]')) AS filled FROM t),
 windows AS (SELECT doc_id, i, array_to_string(words[i : i + 7], ' ') AS g
             FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) > 7)),
 twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
 covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM twice) GROUP BY doc_id),
 counts AS (SELECT w.doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
-                  CAST(length(regexp_replace(text, '[ 	-]+', '', 'g')) AS BIGINT) AS word_chars,
+                  CAST(length(regexp_replace(text, '[ 	-
+]+', '', 'g')) AS BIGINT) AS word_chars,
                   CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
                   CAST(len(filled) - len(list_distinct(filled)) AS BIGINT) AS n_dup_lines,
                   CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words, len(string_split(text, chr(10))) AS n_lines
@@ -181,3 +184,51 @@ FROM chosen
 
 
 SQL["op11_adaptive_rules"] = _rules_sql()
+
+
+@_query
+def op12_merkle_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether a copy that lost line breaks is found out."""
+    found = merkle.document_manifest(_table(spark, sf_dir, "documents"), merkle.without_breaks)
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _leaf(text: str) -> str:
+    part = lambda c: f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+    return f"sha256({' || '.join(map(part, ('doc_id', 'source', 'lang', 'n_chars', text)))})"
+
+
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: xor(c >> 8, list_extract(crc, CAST(xor(c & 255, b) + 1 AS BIGINT)))))"""
+
+SQL["op12_merkle_windows"] = f"""
+WITH RECURSIVE bytes AS (
+    SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))) AS crc),
+copies AS (SELECT *, CASE WHEN {_CRC32} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS copy FROM documents CROSS JOIN bytes),
+hashed AS (SELECT doc_id, coalesce('=' || source, '') AS g, {_leaf('text')} AS leaf, {_leaf('copy')} AS copy_leaf FROM copies),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS total FROM hashed),
+nodes AS (SELECT g, 0 AS lv, pos, leaf AS h, total FROM leaves
+    UNION ALL
+    SELECT g, lv + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (total + 2) // 3 FROM nodes WHERE total > 1 GROUP BY g, lv, pos // 3, total),
+subroots AS (SELECT g, lv AS depth, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS total FROM nodes WHERE total = 1),
+tops AS (SELECT 0 AS lv, pos, subroot AS h, total FROM subroots
+    UNION ALL
+    SELECT lv + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (total + 2) // 3 FROM tops WHERE total > 1 GROUP BY lv, pos // 3, total),
+folds AS (
+    SELECT leaves.g, leaves.pos AS leaf_pos, 0 AS lv, leaves.pos AS own, copy_leaf AS h, '' AS proof, depth, subroots.pos AS top FROM leaves JOIN subroots USING (g)
+    UNION ALL
+    SELECT f.g, f.leaf_pos, f.lv + 1, f.own // 3, sha256(string_agg(CASE WHEN n.pos = f.own THEN f.h ELSE n.h END, '' ORDER BY n.pos)),
+           f.proof || coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (n.pos <> f.own), ''), f.depth, f.top
+    FROM folds f JOIN nodes n ON n.g = f.g AND n.lv = f.lv AND n.pos // 3 = f.own // 3
+    WHERE f.lv < f.depth GROUP BY f.g, f.leaf_pos, f.lv, f.own, f.h, f.proof, f.depth, f.top),
+crowns AS (
+    SELECT g, leaf_pos, 0 AS lv, top AS own, h, proof FROM folds WHERE lv = depth
+    UNION ALL
+    SELECT f.g, f.leaf_pos, f.lv + 1, f.own // 3, sha256(string_agg(CASE WHEN n.pos = f.own THEN f.h ELSE n.h END, '' ORDER BY n.pos)),
+           f.proof || coalesce(string_agg(n.h, '' ORDER BY n.pos) FILTER (n.pos <> f.own), '')
+    FROM crowns f JOIN tops n ON n.lv = f.lv AND n.pos // 3 = f.own // 3
+    WHERE n.total > 1 GROUP BY f.g, f.leaf_pos, f.lv, f.own, f.h, f.proof),
+root AS (SELECT lv, h FROM tops WHERE total = 1)
+SELECT doc_id, leaf, subroot, root.h AS root, sha256(c.proof) AS proof_sha256, c.h AS folded_root, c.h = root.h AS verified
+FROM leaves JOIN subroots USING (g) JOIN crowns c ON c.g = leaves.g AND c.leaf_pos = leaves.pos JOIN root ON root.lv = c.lv
+"""
