@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, merkle, packing, quality, repair, rules, sharding, simhash, toxicity, vectors, warc
+from . import decontaminate, language, merkle, packing, quality, repair, rules, sharding, simhash, toxicity, vectors, warc, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -232,3 +232,10 @@ root AS (SELECT lv, h FROM tops WHERE total = 1)
 SELECT doc_id, leaf, subroot, root.h AS root, sha256(c.proof) AS proof_sha256, c.h AS folded_root, c.h = root.h AS verified
 FROM leaves JOIN subroots USING (g) JOIN crowns c ON c.g = leaves.g AND c.leaf_pos = leaves.pos JOIN root ON root.lv = c.lv
 """
+
+
+@_query
+def op13_exact_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the 16 components of the largest variance, whitened."""
+    found = whitening.whiten(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
