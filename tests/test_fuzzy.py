@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from stellate.operators import fuzzy
 from stellate.operators.fuzzy import fuzzy_lookup
@@ -123,17 +124,66 @@ def test_any_column_name_will_do(spark, name):
         assert fuzzy_lookup(df, name, ref, "name", max_packed=packed).collect() == [("Chile", 1, "CHILE", 100)]
 
 
-def test_bigrams_bring_together_few_pairs_and_all_that_are_near(spark):
-    from pyspark.sql import functions as F
+def _norms(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "norm string").withColumns({"value": F.col("norm"), "words": F.array_distinct(F.split("norm", " "))})
+    return fuzzy._signed(df).withColumn("grams", F.coalesce(fuzzy._numbered_bigrams(F.col("norm")), F.array().cast("array<string>")))
+
+
+def _edit(a, b):
+    return 100 * (max(len(a), len(b)) - levenshtein(a, b)) // max(len(a), len(b))
 
+
+def test_bigrams_bring_together_few_pairs_and_all_that_are_near(spark):
+    """And the tally of shared bigrams leaves fewer to measure."""
     rng = random.Random(8)
     refs = sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 14))) for _ in range(400)})
     labels = sorted({norm(damage(rng, rng.choice(refs))) for _ in range(200)} - {""})
-    as_frame = lambda values: spark.createDataFrame([(v,) for v in values], "norm string").withColumn("value", F.col("norm"))
-    pairs = {(r.norm, r.other) for r in fuzzy._bigram_pairs(as_frame(labels), as_frame(refs), 70).collect()}
-    near = {(a, b) for a in labels for b in refs if a != b and 100 * (max(len(a), len(b)) - levenshtein(a, b)) // max(len(a), len(b)) >= 70}
-    assert near <= pairs
-    assert len(pairs) < 0.1 * len(labels) * len(refs)
+    mine, theirs = _norms(spark, labels), _norms(spark, refs)
+    pairs = fuzzy._bigram_pairs(mine, theirs, 70)
+    full = pairs.join(fuzzy._side(mine, "l_"), "l_norm").join(fuzzy._side(theirs, "r_"), "r_norm")
+    tallied = {(r.l_norm, r.r_norm) for r in fuzzy._tallied(full, 70).collect()}
+    near = {(a, b) for a in labels for b in refs if a != b and _edit(a, b) >= 70}
+    assert near <= tallied and len(tallied) < pairs.count() < 0.02 * len(labels) * len(refs)
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "abcdefghij klm", "é漢\U0001f600 xyz"])
+def test_bounds_hold(spark, alphabet):
+    rng = random.Random(3)
+    some = sorted({norm("".join(rng.choice(alphabet) for _ in range(rng.randint(1, 40)))) for _ in range(120)} - {""})
+    l, r = fuzzy._side(_norms(spark, some), "l_"), fuzzy._side(_norms(spark, some), "r_")
+    rows = l.join(r, F.col("l_len") >= F.col("r_len")).select("l_norm", "r_norm", fuzzy._edit_bound().alias("edit"), fuzzy._word_bound().alias("word")).collect()
+    for row in rows:
+        a, b = set(row.l_norm.split()), set(row.r_norm.split())
+        assert row.edit >= _edit(row.l_norm, row.r_norm)
+        assert row.word >= 90 * len(a & b) // min(len(a), len(b))
+    assert sum(row.edit < 70 for row in rows) > (0 if alphabet == "ab" else len(rows) // 2)
+
+
+@pytest.mark.parametrize(("min_score", "share"), [(70, 0.01), (None, 0.1)])
+def test_few_pairs_are_measured(spark, min_score, share):
+    """Of all pairs of 300 misspelt names and 3,000 names, exact against brute force on some of the labels."""
+    rng = random.Random(6)
+    syllables = [a + b for a in "bdfglmnprst" for b in ("a", "e", "i", "o", "an", "er", "on", "ing")]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(2, 5)))
+    refs = sorted({" ".join(word() for _ in range(rng.randint(1, 3))).title() for _ in range(3000)})
+    labels = sorted({damage(rng, rng.choice(refs)) for _ in range(300)})
+    df = spark.createDataFrame([(x,) for x in labels], "label string")
+    ref = spark.createDataFrame([(x,) for x in refs], "name string")
+    out = fuzzy.match_labels(df, "label", ref, "name", min_score, max_packed=100, compared="n").collect()
+    assert sum(r.n for r in out) < share * len(labels) * len(refs)
+    got = {r.label: (r.match, r.score) for r in out}
+    assert all(got[x] == brute_force(x, refs, min_score) for x in labels[::20])
+
+
+def test_no_aggregate_in_a_lambda(spark):
+    """A bound that an optimizer rule copied into a function over an array would be worked out for each entry."""
+    df = spark.createDataFrame([("Chille",), ("Perru",)], "label string")
+    ref = spark.createDataFrame([("CHILE",), ("PERU",)], "name string")
+    for packed, min_score in ((2_000, 70), (2_000, None), (0, 70), (0, None), (0, 40)):
+        plan = fuzzy.match_labels(df, "label", ref, "name", min_score, max_packed=packed)._jdf.queryExecution().optimizedPlan().toString()
+        for line in plan.splitlines():
+            if "lambdafunction" in line:
+                assert "levenshtein" not in line and "array_max" not in line and "array_min" not in line
 
 
 def test_where_bigrams_suffice():
