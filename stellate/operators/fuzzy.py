@@ -429,3 +429,25 @@ def resolve_former(df: DataFrame, col: str, former: DataFrame, out: str | None =
     )
     joined = lookup_join(df.withColumn("__norm", normalise(col)), names, ["__norm"])
     return joined.withColumn(out or col, F.coalesce("__current", col)).drop("__norm", "__current")
+
+
+def former_candidates(df: DataFrame, col: str, former: DataFrame, out: str) -> DataFrame:
+    """``df`` with one row per name that ``col`` may have now: ``out``, and its ``<out>_place`` in the order of preference.
+
+    A name that is not retired stands for itself. ``former`` has the columns (retired name, current name) and, where a
+    retired name has several successors, an array ``successors`` cut at commas. As a name may hold a comma itself, every run
+    of consecutive pieces is a candidate: those that start earlier first, the shorter ones of these first.
+    """
+    retired, current = former.columns[:2]
+    pieces = F.col("successors") if "successors" in former.columns else F.array(current)
+    names = (
+        former.select(normalise(retired).alias("__norm"), F.struct(F.col(current).alias("current"), pieces.alias("pieces")).alias("__now"))
+        .where(F.col("__norm") != "")
+        .groupBy("__norm").agg(F.min("__now").alias("__now"))
+    )
+    runs_from = lambda i, p: F.transform(F.sequence(F.lit(1), F.size(p) - i + 1), lambda n: F.array_join(F.slice(p, i, n), ", "))
+    runs = _let(F.col("__now.pieces"), lambda p: F.flatten(F.transform(F.sequence(F.lit(1), F.size(p)), lambda i: runs_from(i, p))))
+    own = F.array(F.col(col).cast("string"))
+    joined = lookup_join(df.withColumn("__norm", normalise(col)), names, ["__norm"])
+    listed = F.when(F.size("__now.pieces") > 0, runs).otherwise(own)
+    return joined.select(*df.columns, F.posexplode(listed).alias(f"{out}_place", out))

@@ -11,7 +11,7 @@ from ..functions.similarity import normalise, tokens
 from ..functions.text import clean_label, override_by_keyword, part_at, remove_tokens, replace_all, strip_blanks, title_case
 from ..plans import fixed_values as fixed
 from ..sources.workspace import store
-from .fuzzy import match_labels, resolve_former
+from .fuzzy import former_candidates, match_labels
 from .joins import lookup_join
 
 
@@ -43,14 +43,18 @@ def standardise_labels(
 ) -> DataFrame:
     """Clean a label, replace a retired name by its current one, then take the nearest reference name.
 
+    Of a retired name with several successors each is compared, and the one with the highest score is taken; the first
+    in the list, if several have it (``fuzzy.former_candidates``).
     A match counts as a miss if both have guard words, but not the same: NORTH KOREA is not South Korea, however near the
     spelling. All work is done once per distinct label; the long table only takes part in the
     final join with the stored mapping.
     """
     labels = df.select(col).where(F.col(col).isNotNull()).distinct()
     cleaned = labels.withColumn("__name", clean(F.col(col)))
-    current = resolve_former(cleaned, "__name", former)
-    matched = match_labels(current, "__name", names, name_col, min_score, stop_words, match=out)
+    candidates = former_candidates(cleaned, "__name", former, "__now").drop("__name")
+    scored = match_labels(candidates, "__now", names, name_col, min_score, stop_words, match="__match", score="__score")
+    best = F.min_by(F.struct("__now", "__match"), F.struct(-F.coalesce("__score", F.lit(-1)), "__now_place"))
+    matched = scored.groupBy(col).agg(best.alias("__best")).select(col, F.col("__best.__now").alias("__name"), F.col("__best.__match").alias(out))
     guards = F.array(*map(F.lit, guard_words)) if guard_words else F.array().cast("array<string>")
     held = lambda c: F.array_sort(F.array_intersect(tokens(normalise(c)), guards))
     apart = (F.size(held("__name")) > 0) & (F.size(held(out)) > 0) & (held("__name") != held(out))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stellate import functions as fn
 from stellate.operators.fuzzy import resolve_former
+from stellate.plans import geography
 from stellate.operators.labels import country_label, format_location, standardise_labels
 from stellate.operators.shape import sanitise_columns, sanitise_name
 
@@ -152,3 +153,37 @@ def test_standard_names(spark, names, former):
             ["Russian Federation", "Myanmar", "Bolivia (Plurinational State of)", "Afghanistan", "No match found", None],
         )
     )
+
+
+SUCCESSORS = [
+    ("Czechoslovakia", ["Czechia", "Slovakia"], "Czechia"),
+    ("French Southern and Antarctic Territories", ["Antartica", "French Southern Territories"], "French Southern Territories"),
+    ("Netherlands Antilles", ["Bonaire", "Sint Eustatius and Saba", "Curacao", "Sint Maarten"], "Bonaire, Sint Eustatius and Saba"),
+    ("Neutral Zone", ["Iraq", "Saudi Arabia"], "Iraq"),
+    (
+        "Pacific Islands (Trust Territory)",
+        ["Marshall Islands", "Micronesia (Federared States of)", "Northern Mariana Islands", "Palau"],
+        "Marshall Islands",
+    ),
+    ("Serbia and Montenegro", ["Montenegro", "Serbia"], "Montenegro"),
+]
+
+
+def test_several_successors(spark):
+    """Each successor is compared by itself; a name that holds a comma is put together again."""
+    cells = [(name, f"[{', '.join(now)}]") for name, now, _ in SUCCESSORS] + [("Burma", "Myanmar")]
+    former = geography.former_countries(spark.createDataFrame(cells, "former_country_name string, new_country_names string"))
+    assert [r.successors for r in former.collect()] == [now for _, now, _ in SUCCESSORS] + [["Myanmar"]]
+    wanted = {want for *_, want in SUCCESSORS} | {"Antarctica", "Slovakia", "Serbia", "Saudi Arabia", "Palau", "Myanmar", "Chad"}
+    names = spark.createDataFrame([(n,) for n in sorted(wanted)], "reference_country string")
+    asked = [name.upper() for name, *_ in SUCCESSORS] + ["burma", "Chad", "Xyzzy"]
+    out = standardise_labels(spark.createDataFrame([(a,) for a in asked], "c string"), "c", "name", names, "reference_country", former, clean=lambda c: c)
+    got = {r.c: r.name for r in out.collect()}
+    assert got == {name.upper(): want for name, _, want in SUCCESSORS} | {"burma": "Myanmar", "Chad": "Chad", "Xyzzy": "No match found"}
+
+
+def test_the_nearest_successor_wins(spark):
+    former = spark.createDataFrame([("Old", "[Nowhere, Myanmer]", ["Nowhere", "Myanmer"])], "a string, b string, successors array<string>")
+    names = spark.createDataFrame([("Myanmar",), ("Chad",)], "n string")
+    out = standardise_labels(spark.createDataFrame([("old",)], "c string"), "c", "name", names, "n", former, clean=lambda c: c)
+    assert out.collect() == [("old", "Myanmar")]
