@@ -44,23 +44,37 @@ def cast_columns(df: DataFrame, names: Sequence[str], type_: DataType | str, on_
     """Cast many columns to one type. ``on_error``: ``null`` for a null in place of bad values, ``fail`` to raise."""
     if on_error not in ("null", "fail"):
         raise ValueError(f"on_error must be 'null' or 'fail', not {on_error!r}")
-    texts = {f.name for f in df.schema if isinstance(f.dataType, StringType)}
+    return df.withColumns({n: _cast(df, n, type_, on_error) for n in names})
 
-    def cast(name: str) -> Column:
-        c = F.col(f"`{name}`")
-        if on_error == "fail":
-            return c.cast(type_)
-        numeric = type_ if isinstance(type_, str) else type_.simpleString()
-        return parse_number(c, numeric) if name in texts and numeric in NUMERIC else c.try_cast(type_)
 
-    return df.withColumns({n: cast(n) for n in names})
+def _cast(df: DataFrame, name: str, type_: DataType | str, on_error: str = "null") -> Column:
+    c = F.col(f"`{name}`")
+    if on_error == "fail":
+        return c.cast(type_)
+    numeric = type_ if isinstance(type_, str) else type_.simpleString()
+    is_text = isinstance(df.schema[name].dataType, StringType)
+    return parse_number(c, numeric) if is_text and numeric in NUMERIC else c.try_cast(type_)
 
 
-def conform(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Bring named columns to declared types; a bad value becomes null, columns that are not there are passed over."""
-    for type_ in dict.fromkeys(types.values()):
-        df = cast_columns(df, [c for c, t in types.items() if t == type_ and c in df.columns], type_)
-    return df
+def conform(df: DataFrame, types: Mapping[str, str], rejects: str | None = None) -> DataFrame:
+    """Bring named columns to declared types; a bad value becomes null, columns that are not there are passed over.
+
+    ``rejects`` names a new column that lists the cells lost that way as (column, text); a blank text is no loss. ``rejected``
+    turns it into a table.
+    """
+    typed = {c: _cast(df, c, t) for c, t in types.items() if c in df.columns}
+    if rejects:
+        raw = {c: F.col(f"`{c}`").cast("string") for c in typed}
+        lost = [F.when((F.btrim(raw[c]) != "") & typed[c].isNull(), F.struct(F.lit(c).alias("column"), raw[c].alias("text"))) for c in typed]
+        listed = F.array_compact(F.array(*lost)) if lost else F.array()
+        typed[rejects] = listed.cast("array<struct<column:string,text:string>>")
+    return df.withColumns(typed)
+
+
+def rejected(df: DataFrame, rejects: str, *keep: str) -> DataFrame:
+    """One row for each cell that ``conform`` has listed: ``keep``, column, text. Of a stored table only these columns are
+    read."""
+    return df.where(F.size(rejects) > 0).select(*keep, F.inline(rejects))
 
 
 def strip_and_cast(df: DataFrame, names: Sequence[str], chars: str = ' "', type_: str | None = None) -> DataFrame:

@@ -16,9 +16,10 @@ from ..operators.incremental import partitions_of, pending, publish_incremental
 from ..operators.joins import star
 from ..operators.quality import run_until_failure, table_exists
 from ..operators.aggregates import union_all
-from ..operators.shape import conform, sanitise_columns
-from ..sources.readers import read_any, read_delimited, read_lines, read_table
-from ..sources.sinks import land, load_reference, publish, publish_reference
+from ..operators.shape import conform, rejected, sanitise_columns
+from ..sources.readers import read_delimited, read_lines, read_table
+from ..sources.sinks import land, land_files, load_reference, publish, publish_reference
+from ..sources.workspace import store
 from . import fixed_values as fixed
 from .arrivals import arrivals, time_dimension
 from .dictionaries import code_labels, country_dictionary, port_dictionary
@@ -131,17 +132,22 @@ def pending_inputs(spark: SparkSession, inputs: Inputs, out: str) -> list[str]:
 def build_facts(spark: SparkSession, inputs: Inputs, out: str) -> list[str]:
     """Publish all pending arrivals files together, then the dates of their months.
 
-    Each file is landed; then the months of all of them are merged into the fact at once, so a month is rewritten once
-    however many files it came in, and pieces and repeats are safe. The files are logged when all is published.
+    All files of a format are landed by one scan and one write; then the months of all of them are merged into the fact at
+    once, so a month is rewritten once however many files it came in, and pieces and repeats are safe. Cells that don't
+    have the declared type become null in the fact and are listed in ``landed/arrivals_rejects``, with their file's label,
+    by the same pass. The files are logged when all is published.
     """
     modes = code_labels(read_lines(spark, inputs.mode_lines), "transport_mode")
     visas = code_labels(read_lines(spark, inputs.visa_lines), "visa_category")
     done = pending_inputs(spark, inputs, out)
     if not done:
         return done
-    landed = [land(read_any(spark, inputs.arrivals[b]), f"{out}/landed/arrivals", b) for b in done]
-    raw = union_all(*[conform(f.select(*fixed.ARRIVAL_COLUMNS), fixed.ARRIVAL_TYPES) for f in landed])
-    fact = arrivals(raw, modes, visas, distinct=False)
+    landed = land_files(spark, {b: inputs.arrivals[b] for b in done}, f"{out}/landed/arrivals")
+    raw = [conform(f.select(*fixed.ARRIVAL_COLUMNS, "batch"), fixed.ARRIVAL_TYPES, rejects="rejects") for f in landed]
+    conformed = store(union_all(*raw), "arrivals-conformed")
+    bad = rejected(conformed, "rejects", "batch")
+    publish(bad, f"{out}/landed/arrivals_rejects", partition_by=["batch"], dynamic=True)
+    fact = arrivals(conformed.drop("rejects", "batch"), modes, visas, distinct=False)
     publish_incremental(fact, f"{out}/arrivals", MONTH, key=fixed.ARRIVAL_KEY, stored=True)
     months = partitions_of(fact.select(*MONTH), MONTH, read_table(spark, f"{out}/arrivals", schema=fact.schema))
     publish_incremental(time_dimension(months), f"{out}/time", MONTH)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregates import union_all
 from ..operators.incremental import pending, publish_incremental
+from ..operators.shape import conform, rejected
 from ..sources import readers, sinks
 from ..sources.workspace import new_dir
 from ..streaming import stream_files
@@ -192,6 +193,57 @@ def land_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(first.withColumn("batch", F.lit("first")), second.withColumn("batch", F.lit("second")))
 
 
+_MONTH_LABEL = "strftime(o_orderdate, '%Y-%m')"
+
+
+def _monthly_files(spark: SparkSession, sf_dir: str, columns: list[str]) -> dict[str, str]:
+    """Orders as delimited text, a folder for each month; label -> folder."""
+    path = new_dir(spark, "months")
+    labelled = table(spark, sf_dir, "orders").selectExpr(*columns, "date_format(o_orderdate, 'yyyy-MM') AS month").hint("rebalance", "month")
+    labelled.write.partitionBy("month").options(header=True).csv(path)
+    months = labelled.select("month").distinct().collect()  # some dozen labels
+    return {r.month: f"{path}/month={r.month}" for r in months}
+
+
+@query(f"SELECT CAST(o_orderkey AS VARCHAR) AS order_key, o_orderstatus, {_MONTH_LABEL} AS batch FROM orders")
+def land_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly files landed by one scan and one write; each row knows its file's label."""
+    files = _monthly_files(spark, sf_dir, ["o_orderkey AS `Order Key`", "o_orderstatus"])
+    return union_all(*sinks.land_files(spark, files, new_dir(spark, "landed"), fmt="csv")).select("order_key", "o_orderstatus", "batch")
+
+
+_ODD_PRICE = "CASE WHEN o_orderkey % 7 = 0 THEN 'about ' || o_totalprice WHEN o_orderkey % 11 = 0 THEN '  ' ELSE CAST(o_totalprice AS VARCHAR) END"
+
+
+@query(
+    f"""SELECT {_MONTH_LABEL} AS batch, 'o_totalprice' AS "column", {_ODD_PRICE} AS text FROM orders WHERE o_orderkey % 7 = 0
+        UNION ALL SELECT {_MONTH_LABEL}, 'o_orderkey', o_orderkey || '.5' FROM orders WHERE o_orderkey % 13 = 0
+        UNION ALL SELECT {_MONTH_LABEL}, 'o_orderdate', 'no date' FROM orders WHERE o_orderstatus = 'P'"""
+)
+def rejected_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every cell of the monthly files that does not have its declared type, with file, column and text; blanks are none."""
+    odd = [
+        "IF(o_orderkey % 13 = 0, concat(o_orderkey, '.5'), CAST(o_orderkey AS STRING)) AS o_orderkey",
+        f"{_ODD_PRICE.replace('VARCHAR', 'STRING')} AS o_totalprice",
+        "IF(o_orderstatus = 'P', 'no date', CAST(CAST(o_orderdate AS DATE) AS STRING)) AS o_orderdate",
+    ]
+    files = _monthly_files(spark, sf_dir, odd)
+    raw = union_all(*sinks.land_files(spark, files, new_dir(spark, "landed"), fmt="csv"))
+    typed = conform(raw, {"o_orderkey": "bigint", "o_totalprice": "double", "o_orderdate": "date"}, rejects="rejects")
+    return rejected(typed, "rejects", "batch")
+
+
+@query(
+    """SELECT 'rows' AS what, count(*) AS n FROM orders UNION ALL SELECT 'o_custkey', count(*) FILTER (o_custkey % 5 = 0) FROM orders
+       UNION ALL SELECT 'o_orderkey', CAST(0 AS BIGINT)"""
+)
+def observed_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and null keys counted by the write itself."""
+    orders = dated_orders(spark, sf_dir).withColumn("o_custkey", F.expr("IF(o_custkey % 5 = 0, NULL, o_custkey)"))
+    counts = sinks.publish(orders, new_dir(spark, "orders"), partition_by=MONTH, observe_nulls=["o_custkey", "o_orderkey"])
+    return spark.createDataFrame(list(counts.items()), "what string, n long")
+
+
 @query("SELECT DISTINCT p_name FROM part")
 def reference_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_dir(spark, "names")

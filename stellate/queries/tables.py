@@ -443,7 +443,7 @@ def arrivals_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     _arrivals_raw(spark, sf_dir).withColumn("cicid", bad).write.options(header=True).csv(path)
     fact = arr.arrivals(readers.read_any(spark, path), *_code_labels(spark, sf_dir), distinct=False)
     for _ in range(2):
-        publish_incremental(fact, out, ["year", "month"], key=fixed.ARRIVAL_KEY, stored=True)
+        publish_incremental(fact, out, ["year", "month"], key=fixed.ARRIVAL_KEY)
     return readers.read_table(spark, out, schema=fact.schema).select(fact.columns)
 
 

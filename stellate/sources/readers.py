@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ FORMATS = {
 
 def read_delimited(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: StructType | str | None = None,
     sep: str = ",",
     header: bool = True,
@@ -49,11 +50,16 @@ def read_table(
     return (reader.schema(schema) if schema is not None else reader).parquet(path)
 
 
-def read_any(spark: SparkSession, path: str, fmt: str | None = None, **options) -> DataFrame:
-    """Scan in the given format, or in the one that the file extension stands for."""
+def _format_of(path: str, fmt: str | None) -> str:
     ext = fmt or os.path.splitext(path.rstrip("/"))[1].lstrip(".").lower()
     if ext not in FORMATS:
         raise ValueError(f"unknown file format {ext!r}: expected one of {sorted(FORMATS)}")
+    return ext
+
+
+def read_any(spark: SparkSession, path: str, fmt: str | None = None, **options) -> DataFrame:
+    """Scan in the given format, or in the one that the file extension stands for."""
+    ext = _format_of(path, fmt)
     if ext == "csv":
         return read_delimited(spark, path, **options)
     if ext == "txt":
@@ -61,6 +67,16 @@ def read_any(spark: SparkSession, path: str, fmt: str | None = None, **options)
     return spark.read.format(FORMATS[ext]).options(**options).load(path)
 
 
+def read_files(spark: SparkSession, paths: Sequence[str], fmt: str | None = None, **options) -> DataFrame:
+    """One scan over many files of one format. Delimited files must have the same header, Parquet schemas are merged."""
+    ext = _format_of(paths[0], fmt)
+    if ext == "csv":
+        return read_delimited(spark, list(paths), enforceSchema=False, **options)
+    if ext == "parquet":
+        options = {"mergeSchema": True} | options
+    return spark.read.format(FORMATS[ext]).options(**options).load(list(paths))
+
+
 def parse_dictionary(
     lines: DataFrame,
     key: str = "code",

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import re
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.shape import sanitise_columns
-from .readers import read_table
+from .readers import read_files, read_table
 
 
 def publish(
@@ -20,7 +24,8 @@ def publish(
     sort_within: Sequence[str] = (),
     max_records_per_file: int | None = None,
     dynamic: bool = False,
-) -> None:
+    observe_nulls: Sequence[str] | None = None,
+) -> dict[str, int] | None:
     """Write a table as Parquet.
 
     * ``cluster_by`` brings equal values together before the write; by default those of ``partition_by``, so that not
@@ -29,6 +34,8 @@ def publish(
     * ``n_files`` spreads rows round-robin over that many tasks. One file suits reference tables only.
     * ``sort_within`` sorts inside each file, after the rows were placed. No global order is promised.
     * ``dynamic`` replaces only the partitions that occur in ``df``.
+    * ``observe_nulls`` counts while the rows are written, without another scan, and returns ``rows`` and, for each of the
+      given columns (none of them called ``rows``), its nulls. The last stage counts, so a shuffle that is repeated after a lost executor counts once.
     """
     if n_files and cluster_by:
         raise ValueError("choose n_files or cluster_by")
@@ -38,6 +45,10 @@ def publish(
         df = df.hint("rebalance", *clusters)
     if sort_within:
         df = df.sortWithinPartitions(*partition_by, *sort_within)
+    seen = Observation()
+    if observe_nulls is not None:
+        nulls = [F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(f"n{i}") for i, c in enumerate(observe_nulls)]
+        df = df.observe(seen, F.count(F.lit(1)).alias("all"), *nulls)
     writer = df.write.mode(mode)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
@@ -46,6 +57,10 @@ def publish(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    if observe_nulls is None:
+        return None
+    got = seen.get
+    return {"rows": got["all"]} | {c: got[f"n{i}"] for i, c in enumerate(observe_nulls)}
 
 
 def publish_reference(df: DataFrame, path: str) -> None:
@@ -66,3 +81,51 @@ def land(df: DataFrame, target: str, batch: str | None = None, n_files: int | No
     path = target if batch is None else f"{target.rstrip('/')}/batch={batch}"
     publish(sanitise_columns(df), path, n_files=n_files)
     return read_table(df.sparkSession, path)
+
+
+def _plain(uri: str) -> str:
+    """A URI with one slash after its scheme, however its authority is written."""
+    return re.sub(r"^([a-z0-9]+):/+", r"\1:/", uri)
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return _plain(store.makeQualified(hadoop).toUri().toString()).rstrip("/")
+
+
+def _label_of(file: str, roots: Mapping[str, str]) -> str | None:
+    """Label of the longest root that is the file or a folder above it."""
+    at = file
+    while at and at not in roots:
+        at = at.rpartition("/")[0]
+    return roots.get(at)
+
+
+def land_files(spark: SparkSession, files: Mapping[str, str], target: str, batch: str = "batch", fmt: str | None = None, **options) -> list[DataFrame]:
+    """Store many raw files (label -> file or folder) as Parquet under sanitised names, one partition ``batch`` per label.
+
+    The files of a format are read by one scan and written by one job, however many they are; the label of a row comes from
+    the file that holds it. Nothing is shuffled. Files of a format share their columns: Parquet schemas are merged, delimited
+    files whose header differs from the first one's are refused. Landing a label again replaces its rows (unless it has none
+    now). Returns what was landed for each format, with the column ``batch``.
+    """
+    kinds: dict[str, dict[str, str]] = {}
+    for label, path in files.items():
+        kinds.setdefault(fmt or os.path.splitext(path.rstrip("/"))[1].lower(), {})[label] = path
+    landed = []
+    for some in kinds.values():
+        scan = read_files(spark, list(some.values()), fmt, **options)
+        clean = sanitise_columns(scan)
+        if batch in clean.columns:
+            raise ValueError(f"the files have a column {batch!r} already")
+        roots = {_qualified(spark, path): label for label, path in some.items()}
+        labels = [(name, _label_of(_plain(name), roots)) for name in scan.inputFiles()]
+        # one short row for each file of the scan, which the driver has listed anyway
+        known = spark.createDataFrame([(_plain(n), label) for n, label in labels], f"__file string, `{batch}` string")
+        where = F.regexp_replace(F.col("_metadata.file_path"), "^([a-z0-9]+):/+", "$1:/")
+        rows = scan.withColumn("__file", where).join(F.broadcast(known), "__file", "left").drop("__file")
+        publish(rows.toDF(*clean.columns, batch), target, partition_by=[batch], cluster_by=(), dynamic=True)
+        schema = StructType([*clean.schema, StructField(batch, StringType())])
+        landed.append(read_table(spark, target, schema=schema).where(F.col(batch).isin(list(some))))
+    return landed

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from stellate.operators import incremental
 from stellate.operators.incremental import partitions_of, pending, publish_incremental
+from stellate.operators.shape import conform, rejected
 from stellate.sources import readers, sinks, workspace
 from stellate.streaming import stream_files
 
@@ -210,3 +211,81 @@ def test_merged_batches_leave_no_work_table(spark, tmp_path):
     for _ in range(2):
         publish_incremental(month(spark, 1, [1, 2, 3]), path, MONTH, key=["cicid"])
     assert set(work.glob("batch-*")) == before
+
+
+def jobs_of(spark, work):
+    """Spark jobs that a function starts."""
+    group = f"count-{work.__name__}-{id(work)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("kind", ["csv", "parquet"])
+def test_many_files_cost_as_many_jobs_as_one(spark, tmp_path, kind):
+    def files(n):
+        out = {}
+        for i in range(n):
+            path = f"{tmp_path}/{n}/file {i}.{kind}"
+            rows = spark.createDataFrame([(i, f"row {i}"), (i + 1, None)], "`Some Id` int, name string").coalesce(1)
+            rows.write.options(header=True).format(kind).save(path)
+            out[f"0{i}"] = path
+        return out
+
+    counts, plans = [], []
+    for n in (1, 10, 30):
+        some, target = files(n), f"{tmp_path}/landed-{n}"
+
+        def work():
+            return sinks.land_files(spark, some, target)
+
+        (landed,), jobs = jobs_of(spark, work)
+        counts.append(jobs)
+        plans.append(len(landed._jdf.queryExecution().optimizedPlan().toString().splitlines()))
+        assert landed.columns == ["some_id", "name", "batch"] and landed.schema["batch"].dataType.simpleString() == "string"
+        want = {(f"0{i}", str(i + k), f"row {i}" if not k else None) for i in range(n) for k in (0, 1)}
+        assert {(r.batch, str(r.some_id), r.name) for r in landed.select("batch", "some_id", F.col("name")).collect()} == want
+    assert len(set(plans)) == 1 and len(set(counts)) == 1
+
+
+def test_landing_a_label_again_replaces_it(spark, tmp_path):
+    write = lambda name, ids: spark.createDataFrame([(i,) for i in ids], "id int").write.mode("overwrite").parquet(f"{tmp_path}/{name}.parquet")
+    write("a", [1, 2])
+    write("b", [3])
+    sinks.land_files(spark, {"a": f"{tmp_path}/a.parquet", "b": f"{tmp_path}/b.parquet"}, f"{tmp_path}/t")
+    write("a2", [7])
+    (again,) = sinks.land_files(spark, {"a": f"{tmp_path}/a2.parquet"}, f"{tmp_path}/t")
+    assert [tuple(r) for r in again.collect()] == [(7, "a")]
+    assert sorted(tuple(r) for r in readers.read_table(spark, f"{tmp_path}/t").collect()) == [(3, "b"), (7, "a")]
+
+
+def test_files_with_another_header_are_refused(spark, tmp_path):
+    for name, columns in (("a", "x int, y int"), ("b", "y int, x int")):
+        spark.createDataFrame([(1, 2)], columns).write.options(header=True).csv(f"{tmp_path}/{name}.csv")
+    with pytest.raises(Exception, match="(?i)header"):
+        sinks.land_files(spark, {"a": f"{tmp_path}/a.csv", "b": f"{tmp_path}/b.csv"}, f"{tmp_path}/t")
+
+
+def test_counts_while_writing(spark, tmp_path):
+    """As many jobs as the plain write, and the same counts as a scan."""
+    df = spark.range(1000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), (F.col("id") % 4).alias("p"), F.lit(None).cast("int").alias("x y"))
+
+    def plain():
+        return sinks.publish(df, f"{tmp_path}/a", partition_by=["p"])
+
+    def counted():
+        return sinks.publish(df, f"{tmp_path}/b", partition_by=["p"], observe_nulls=["k", "x y"])
+
+    (_, jobs), (counts, more) = jobs_of(spark, plain), jobs_of(spark, counted)
+    assert counts == {"rows": 1000, "k": 334, "x y": 1000}
+    assert more == jobs
+
+
+def test_rejected_cells(spark):
+    df = spark.createDataFrame([("1", "2.0", "x"), ("a", None, " "), ("3.5", "1e2", "2016-01-01")], "a string, b string, c string")
+    out = conform(df, {"a": "int", "b": "double", "c": "date", "missing": "int"}, rejects="lost")
+    assert [(r.a, r.b, str(r.c)) for r in out.collect()] == [(1, 2.0, "None"), (None, None, "None"), (None, 100.0, "2016-01-01")]
+    assert sorted(tuple(r) for r in rejected(out, "lost").collect()) == [("a", "3.5"), ("a", "a"), ("c", "x")]
