@@ -28,28 +28,39 @@ from .tokens import default_vocabulary, encoder
 
 END_ID = 1
 SHARD_TOKENS = 4 << 20
-MAGIC = b"RPIDS001"
+#: By the bytes of a symbol.
+MAGIC = {2: b"RPIDS001", 4: b"RPIDS002"}
 MANIFEST = "part int, number int, temporary string, final string, documents long, tokens long, bytes long"
 _HASH = np.uint32(0x9E3779B1)
+_WIDE_HASH = np.uint64(0x9E3779B97F4A7C15)
+#: Rules that must fit beside the ids into 16 bits, and new rules of one round at most.
+ROOM, MOST_A_ROUND = 4096, 1 << 16
 
 
 # ---- grammar -----------------------------------------------------------------------------------------------------
 
 
 def compress(ids: np.ndarray, counts: np.ndarray, base: int, rounds: int = 6, least: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols (uint16) of all documents, symbols of each document, and rules as pairs of symbols.
+    """Symbols of all documents, symbols of each document, and rules as pairs of symbols.
 
-    Ids are below ``base``; rule k is the symbol ``base + k``. Symbols have 16 bits, which bounds the rules. A pair becomes
-    a rule if it occurs ``least`` times in the shard.
+    Ids are below ``base``; rule k is the symbol ``base + k``. Symbols have 16 bits, which bounds the rules; if fewer than
+    ``ROOM`` rules were left by the ids, they have 32 bits. A pair becomes a rule if it occurs ``least`` times in the shard.
     """
-    symbols, ends = ids.astype(np.uint32), np.cumsum(counts) - 1
-    rules = np.zeros((0, 2), dtype=np.uint32)
-    table_key, table_rule = np.zeros(1 << 20, dtype=np.uint32), np.full(1 << 20, -1, dtype=np.int32)
+    if len(ids) and int(ids.max()) >= base:
+        raise ValueError(f"an id is {int(ids.max())}, but ids are to be below {base}")
+    bits = 16 if base <= (1 << 16) - ROOM else 32
+    kind, symbol = (np.uint32, np.uint16) if bits == 16 else (np.uint64, np.uint32)
+    limit = (1 << 16) - base if bits == 16 else (1 << 32) - base
+    mask = kind((1 << bits) - 1)
+    place = (lambda k: (k * _HASH) >> np.uint32(12)) if bits == 16 else (lambda k: (k * _WIDE_HASH) >> np.uint64(44))
+    symbols, ends = ids.astype(kind), np.cumsum(counts) - 1
+    rules = np.zeros((0, 2), dtype=kind)
+    table_key, table_rule = np.zeros(1 << 20, dtype=kind), np.full(1 << 20, -1, dtype=np.int32)
     for turn in range(rounds):
-        room = (1 << 16) - base - len(rules)
+        room = limit - len(rules)
         if len(symbols) < 2 or room <= 0:
             break
-        keys = (symbols[:-1] << np.uint32(16)) | symbols[1:]
+        keys = (symbols[:-1] << kind(bits)) | symbols[1:]
         inside = np.ones(len(keys), dtype=bool)
         inside[ends[(ends >= 0) & (ends < len(keys))]] = False
         ordered = np.sort(keys[inside])
@@ -58,16 +69,16 @@ def compress(ids: np.ndarray, counts: np.ndarray, base: int, rounds: int = 6, le
         good = np.flatnonzero(often >= least)
         if not len(good):
             break
-        quota = room if turn == rounds - 1 else max(1, room // 2)
+        quota = min(room if turn == rounds - 1 else max(1, room // 2), MOST_A_ROUND)
         if len(good) > quota:
             good = good[np.argsort(-often[good], kind="stable")[:quota]]
         chosen = ordered[first[good]]
-        slot = (chosen * _HASH) >> np.uint32(12)
+        slot = place(chosen)
         _, alone = np.unique(slot, return_index=True)  # of pairs that share a place the first one, the others may come later
         chosen, slot = chosen[alone], slot[alone]
         table_key[slot] = chosen
         table_rule[slot] = np.arange(len(chosen)) + len(rules)
-        at = (keys * _HASH) >> np.uint32(12)
+        at = place(keys)
         rule = np.where(table_key[at] == keys, table_rule[at], -1)
         rule[~inside] = -1
         table_rule[slot] = -1
@@ -79,13 +90,13 @@ def compress(ids: np.ndarray, counts: np.ndarray, base: int, rounds: int = 6, le
             break
         keep = np.ones(len(symbols), dtype=bool)
         keep[taken + 1] = False
-        symbols[taken] = rule[taken] + base
+        symbols[taken] = rule[taken].astype(kind) + kind(base)
         ends = np.cumsum(keep)[ends] - 1 if len(ends) else ends
         symbols = symbols[keep]
-        rules = np.concatenate([rules, np.stack([chosen >> np.uint32(16), chosen & np.uint32(0xFFFF)], axis=1)])
+        rules = np.concatenate([rules, np.stack([chosen >> kind(bits), chosen & mask], axis=1)])
     ends = np.where(counts > 0, ends, -1)
     own = np.diff(np.maximum.accumulate(ends), prepend=-1)
-    return symbols.astype(np.uint16), own.astype(np.int64), rules.astype(np.uint16)
+    return symbols.astype(symbol), own.astype(np.int64), rules.astype(symbol)
 
 
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:
@@ -125,13 +136,15 @@ class Shard:
         known = np.array([d is not None for d in self.doc_ids], dtype=np.uint8)
         numbers = np.array([d or 0 for d in self.doc_ids], dtype="<i8")
         head = np.array([self.base, len(self.doc_ids), len(self.rules), len(self.symbols)], dtype="<i8")
-        parts = [head, numbers, known, self.counts.astype("<u4"), self.rules.astype("<u2"), self.lengths.astype("<u4"), self.symbols.astype("<u2")]
+        size = self.symbols.dtype.itemsize
+        parts = [head, numbers, known, self.counts.astype("<u4"), self.rules.astype(f"<u{size}"), self.lengths.astype("<u4"), self.symbols.astype(f"<u{size}")]
         body = b"".join(p.tobytes() for p in parts)
-        return MAGIC + zlib.crc32(body).to_bytes(4, "little") + body
+        return MAGIC[size] + zlib.crc32(body).to_bytes(4, "little") + body
 
     @classmethod
     def from_bytes(cls, data: bytes) -> "Shard":
-        if data[:8] != MAGIC or zlib.crc32(memoryview(data)[12:]) != int.from_bytes(data[8:12], "little"):
+        size = {v: k for k, v in MAGIC.items()}.get(bytes(data[:8]))
+        if size is None or zlib.crc32(memoryview(data)[12:]) != int.from_bytes(data[8:12], "little"):
             raise ValueError("not a whole Re-Pair file")
         at = 12
 
@@ -144,8 +157,8 @@ class Shard:
         base, documents, rules, symbols = take("<i8", 4).tolist()
         numbers, known = take("<i8", documents), take("u1", documents)
         counts = take("<u4", documents).astype(np.int64)
-        pairs, lengths = take("<u2", 2 * rules).reshape(-1, 2), take("<u4", rules)
-        return cls(base, [d if k else None for d, k in zip(numbers.tolist(), known.tolist())], counts, pairs, lengths, take("<u2", symbols))
+        pairs, lengths = take(f"<u{size}", 2 * rules).reshape(-1, 2), take("<u4", rules)
+        return cls(base, [d if k else None for d, k in zip(numbers.tolist(), known.tolist())], counts, pairs, lengths, take(f"<u{size}", symbols))
 
     def document(self, k: int) -> np.ndarray:
         return expand(self.symbols[self.at[k] : self.at[k + 1]], self.rules, self.base)

@@ -1,6 +1,7 @@
 """Token ids of whole texts through the ``tokenizers`` library.
 
-The vocabulary's pre-tokenizer never lets a token cross white space, nor a border between an ASCII letter or digit and an
+Texts go to the library whole, unless the vocabulary's file has the normaliser and the pre-tokenizer of ``PIECEWISE``, as the
+default one does. That pre-tokenizer never lets a token cross white space, nor a border between an ASCII letter or digit and an
 ASCII punctuation character other than the apostrophe. So a text's ids are the ids of the pieces between such borders, one
 after the other. A worker keeps the ids of the pieces that it has seen, up to a bound, and asks the library for new ones
 only. Texts for which this does not hold as plainly go to the library whole: those that hold a special token's text, a
@@ -9,12 +10,13 @@ control character used as a mark below, or a very long piece.
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
 import pyarrow as pa
 
-from .arrow import offsets, ragged_take
+from .arrow import as_bytes, offsets, ragged_take
 from .words import LONGEST, Table, buffer_of, hashes, runs
 
 VOCABULARY = "word_bpe_49k.json"
@@ -32,6 +34,33 @@ KIND[[c for c in range(128) if chr(c).isalnum()]] = WORD
 IS_UPPER = np.zeros(256, dtype=bool)
 IS_UPPER[65:91] = True
 
+# The parts of a vocabulary's file for which texts may be cut into pieces.
+PIECEWISE = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+    "truncation": None,
+    "padding": None,
+}
+
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -54,8 +83,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        (self.mark,) = self._whole(MARK)
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [t.content.encode() for t in added]
+        mark = self._whole(MARK)
+        with open(path, encoding="utf-8") as file:
+            settings = json.load(file)
+        plain = not any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added)
+        self.piecewise = plain and len(mark) == 1 and all(settings.get(k) == v for k, v in PIECEWISE.items())
+        self.mark = mark[0] if mark else None
         self.kept = kept
         self._clear()
 
@@ -71,6 +106,8 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids (uint32) of all texts one after the other, and how many each text has. A null has none."""
+        if not self.piecewise:
+            return self._all_whole(texts)
         if self.table.size > self.kept:
             self._clear()
         data, at = buffer_of(texts)
@@ -91,6 +128,13 @@ class Encoder:
         counts = np.diff(offsets(length)[np.searchsorted(start, at)])
         return (ids, counts) if not odd else _with(ids, counts, whole)
 
+    def _all_whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        said = [b"" if t is None else t for t in as_bytes(texts)]
+        found = [e.ids for e in self.tokenizer.encode_batch([t.decode("utf-8", "replace") for t in said], add_special_tokens=False)]
+        counts = np.array([len(f) if t is not None else 0 for f, t in zip(found, as_bytes(texts))], dtype=np.int64)
+        ids = [np.array(f, dtype=np.uint32) for f, n in zip(found, counts) if n]
+        return np.concatenate(ids) if ids else np.zeros(0, dtype=np.uint32), counts
+
     def _odd(self, data: np.ndarray, at: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[int]:
         """Texts that go to the library whole."""
         held = data.tobytes()

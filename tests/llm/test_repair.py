@@ -77,3 +77,37 @@ def test_small_shards_and_manifest(spark):
     assert manifest.count() > 20
     out = sorted((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in cases.collect(read(manifest, folder)))
     assert out == _want(sorted(tuple(r) for r in cases.documents(spark).select("doc_id", "text").collect()))
+
+
+@pytest.mark.parametrize("base", [60_000, 65_000, 65_536, 100_000, 3_000_000_000])
+def test_large_ids(base):
+    """Ids that 16 bits can't hold, or that leave them no room for rules."""
+    rng = np.random.default_rng(base)
+    some = rng.integers(base - 9, base, 8).tolist()
+    documents = [[some[i] for i in rng.integers(0, 8, 300)] for _ in range(30)] + [[base - 1, 0, base - 1], []]
+    shard = _shard(documents, base)
+    assert shard.symbols.dtype.itemsize == (2 if base <= (1 << 16) - 4096 else 4) and len(shard.rules)
+    back = Shard.from_bytes(shard.to_bytes())
+    ids, counts = back.all_tokens()
+    assert ids.tolist() == [i for d in documents for i in d] and counts.tolist() == [len(d) for d in documents]
+    assert back.document(3).tolist() == documents[3] and back.tokens(4, 7, 60).tolist() == documents[4][7:60]
+
+
+def test_ids_beyond_the_vocabulary_are_refused():
+    with pytest.raises(ValueError):
+        _shard([[1, 2, 10]], 10)
+
+
+def test_files_of_a_large_vocabulary(spark, tmp_path):
+    """100,000 words, read back id by id."""
+    from tokenizers import models, pre_tokenizers
+
+    own = Tokenizer(models.WordLevel({f"w{i}": i for i in range(100_000)}, unk_token="w0"))
+    own.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    path = str(tmp_path / "large.json")
+    own.save(path)
+    texts = [" ".join(f"w{(i * 7 + k) % 50 * 1999}" for k in range(200)) for i in range(20)]
+    out = cases.collect(token_files(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), vocabulary=path))
+    for r in out:
+        ids = own.encode(texts[r["doc_id"]]).ids + [1]
+        assert max(ids) > 1 << 16 and (r["n_tokens"], r["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))

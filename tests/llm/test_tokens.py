@@ -54,3 +54,32 @@ def test_hash_depends_on_the_word_alone():
     start, end = runs(data != 32)
     h = hashes(data, start, end).tolist()
     assert h[0] == h[2] and h[1] == h[5] and h[3] == h[4] and len(set(h)) == 3
+
+
+@pytest.fixture(scope="module")
+def cased(tmp_path_factory):
+    """A vocabulary of another kind: letter case counts, and words are cut at hyphens."""
+    from tokenizers import models, pre_tokenizers
+
+    words = ["[UNK]", "The", "the", "Fox", "fox", "quick", "Hello", ",", "world", "-", "."]
+    own = Tokenizer(models.WordLevel({w: i for i, w in enumerate(words)}, unk_token="[UNK]"))
+    own.pre_tokenizer = pre_tokenizers.Whitespace()
+    path = str(tmp_path_factory.mktemp("vocabulary") / "cased.json")
+    own.save(path)
+    return path
+
+
+@pytest.mark.parametrize("name", ["cased", "byte_bpe_50k.json"])
+def test_other_vocabularies(cased, name):
+    """Files with another normaliser or pre-tokenizer get whole texts."""
+    import public_tokenizers
+
+    path = cased if name == "cased" else str(public_tokenizers.path(name))
+    own, library, all_texts = Encoder(path), Tokenizer.from_file(path), texts() + ["The quick Fox", "Hello, world", "the  fox-The\n"]
+    assert not own.piecewise and Encoder(default_vocabulary()).piecewise
+    ids, counts = own.encode(pa.array(all_texts, pa.string()))
+    ends = np.append(0, np.cumsum(counts))
+    for k, text in enumerate(all_texts):
+        want = [] if text is None else library.encode(text, add_special_tokens=False).ids
+        assert ids[ends[k] : ends[k + 1]].tolist() == want, text
+    assert [len(x) for x in own.encode(pa.array([None, None], pa.string()))] == [0, 2]
