@@ -17,6 +17,7 @@ from .joins import is_small, lookup_join
 from .quality import table_exists
 
 MAX_LITERAL_PARTITIONS = 500
+BUCKET = "key_bucket"
 
 
 def pending(candidates: DataFrame, published: DataFrame, on: Sequence[str], small: bool | None = None) -> DataFrame:
@@ -72,6 +73,13 @@ def merge_with_published(
     return one_per_key(both, key, ["__age", *order_by]).drop("__age")
 
 
+def _bucketed(df: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
+    """Rows with a null in their key have the bucket of all their columns, so they are spread and repeats still meet."""
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    place = F.when(whole, F.xxhash64(*[F.col(k) for k in key])).otherwise(F.xxhash64(*df.columns))
+    return df.withColumn(BUCKET, F.pmod(place, F.lit(buckets)).cast("int"))
+
+
 def publish_incremental(
     df: DataFrame,
     path: str,
@@ -79,6 +87,7 @@ def publish_incremental(
     key: Sequence[str] | None = None,
     order_by: Sequence[Column | str] | None = None,
     stored: bool = False,
+    buckets: int | None = None,
     **options,
 ) -> None:
     """Publish whole partitions (months): those in the batch are replaced, all others stay, so a repeat adds nothing.
@@ -87,10 +96,18 @@ def publish_incremental(
     kept, the first in ``order_by`` (default: by all other columns); rows with a null in their key are all kept. The batch
     is written to the shared folder for that and removed again, unless it is cheap to read twice (``stored``). Old files
     are removed only when the new ones are complete, so a job that dies can be run again.
+
+    ``buckets`` cuts each partition into that many directories by the hash of the key, the last partition column
+    ``BUCKET`` of the table: a small late piece then reads and rewrites the buckets of its keys, not whole months. The number
+    is to stay the same for all pieces of a table.
     """
     spark, work = df.sparkSession, None
+    if buckets:
+        if not key:
+            raise ValueError("buckets are cut by the key, so there has to be one")
+        df, partition_by = _bucketed(df, key, buckets), [*partition_by, BUCKET]
     if key:
-        order = order_by or [c for c in df.columns if c not in key] or list(key)
+        order = order_by or [c for c in df.columns if c not in key and c != BUCKET] or list(key)
         if not stored and table_exists(spark, path):
             work = new_dir(spark, "batch")
             df.write.parquet(work)

@@ -274,6 +274,7 @@ def fuzzy_best_many_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _many(spark, sf_dir, None)
 
 
+_RETIRED_NAME = "CASE WHEN r_name = 'ASIA' THEN 'once ' || n_name ELSE n_name END"
 _NATION_LABEL = """CASE c_mktsegment WHEN 'HOUSEHOLD' THEN lower(n_name) WHEN 'MACHINERY' THEN ' ' || n_name || '. '
     WHEN 'FURNITURE' THEN replace(n_name, '_', '-') ELSE c_name END"""
 
@@ -281,13 +282,12 @@ _NATION_LABEL = """CASE c_mktsegment WHEN 'HOUSEHOLD' THEN lower(n_name) WHEN 'M
 @query(
     f"""SELECT c_custkey, label, coalesce(r_name, label) AS country
         FROM (SELECT c_custkey, {_NATION_LABEL} AS label FROM customer JOIN nation ON c_nationkey = n_nationkey)
-        LEFT JOIN (SELECT {norm_sql('n_name')} AS norm, r_name FROM nation JOIN region ON n_regionkey = r_regionkey
-          WHERE r_name <> 'ASIA') ON {norm_sql('label')} = norm"""
+        LEFT JOIN (SELECT {norm_sql(_RETIRED_NAME)} AS norm, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) ON {norm_sql('label')} = norm"""
 )
 def resolve_former(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations of all regions but one are retired in favour of their region."""
+    """Nations of all regions but one are retired in favour of their region; those of one were called otherwise."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    former = nation.join(region, F.expr("n_regionkey = r_regionkey")).where("r_name <> 'ASIA'").select("n_name", "r_name")
+    former = nation.join(region, F.expr("n_regionkey = r_regionkey")).select(F.expr(_RETIRED_NAME).alias("n_name"), "r_name")
     labelled = table(spark, sf_dir, "customer").join(nation, F.expr("c_nationkey = n_nationkey")).select(
         "c_custkey", F.expr(_NATION_LABEL).alias("label")
     )
@@ -333,6 +333,9 @@ _PORT_TEXT = """CASE p_type WHEN 'PROMO' THEN upper(p_name) || ', ' || upper(sub
     ELSE '  ' || upper(p_name) || ' - WASHINGTON DC' END"""
 
 
+_OLD_NATION = "CASE WHEN n_regionkey = 1 THEN 'NATION ' ELSE 'PLACE ' END || n_nationkey"
+
+
 def _formatted_sql() -> str:
     noise = "t0"
     for word in fixed.PORT_NOISE:
@@ -341,8 +344,8 @@ def _formatted_sql() -> str:
         WITH raw AS (SELECT p_partkey, {_PORT_TEXT} AS t0 FROM part),
         shaped AS (SELECT p_partkey, t0, t, string_split(t, ', ')[-1] AS last FROM (
             SELECT p_partkey, t0, {replace_sql(noise, fixed.PORT_REPLACEMENTS)} AS t FROM raw)),
-        former AS (SELECT {norm_sql("'NATION ' || n_nationkey")} AS fnorm, r_name FROM nation
-            JOIN region ON n_regionkey = r_regionkey WHERE n_regionkey = 1),
+        former AS (SELECT {norm_sql(f"({_OLD_NATION})")} AS fnorm, r_name FROM nation
+            JOIN region ON n_regionkey = r_regionkey),
         countries AS (SELECT last, coalesce(r_name, last) AS cur FROM (
             SELECT DISTINCT last FROM shaped WHERE contains(t, ',') AND length(last) > 2)
             LEFT JOIN former ON {norm_sql('last')} = fnorm),
@@ -360,9 +363,8 @@ def _formatted_sql() -> str:
 def format_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     former = (
-        nation.where("n_regionkey = 1")
-        .join(region, F.expr("n_regionkey = r_regionkey"))
-        .select(F.concat(F.lit("NATION "), "n_nationkey").alias("old"), F.col("r_name").alias("new"))
+        nation.join(region, F.expr("n_regionkey = r_regionkey"))
+        .select(F.expr(_OLD_NATION).alias("old"), F.col("r_name").alias("new"))
     )
     names = nation.select(F.col("n_name").alias("name")).union(region.select("r_name"))
     raw = table(spark, sf_dir, "part").select("p_partkey", F.expr(_PORT_TEXT).alias("label"))

@@ -62,18 +62,31 @@ def publish_in_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""SELECT o_orderkey, {YEAR_MONTH} FROM orders ANTI JOIN (SELECT DISTINCT year(l_shipdate) AS y,
-        month(l_shipdate) AS m FROM lineitem WHERE year(l_shipdate) < 2000) ON year(o_orderdate) = y
-        AND month(o_orderdate) = m""",
+    f"""SELECT o_orderkey, {YEAR_MONTH} FROM orders ANTI JOIN (SELECT DISTINCT
+        CASE WHEN year(l_shipdate) < 2000 THEN year(l_shipdate) ELSE -year(l_shipdate) END AS y,
+        month(l_shipdate) AS m FROM lineitem) ON year(o_orderdate) = y AND month(o_orderdate) = m""",
     name="pending_files",
 )
 def pending_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of months that no line published before 2000 covers."""
-    published = table(spark, sf_dir, "lineitem").select(
-        F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month")
-    )
+    """Orders of months that no published line covers; lines from 2000 on are in other years."""
+    year = F.expr("IF(year(l_shipdate) < 2000, year(l_shipdate), -year(l_shipdate))")
+    published = table(spark, sf_dir, "lineitem").select(year.alias("year"), F.month("l_shipdate").alias("month"))
     candidates = dated_orders(spark, sf_dir).select("o_orderkey", "year", "month")
-    return pending(candidates, published.where("year < 2000"), MONTH).select("o_orderkey", "year", "month")
+    return pending(candidates, published, MONTH).select("o_orderkey", "year", "month")
+
+
+@query(
+    f"""SELECT {YEAR_MONTH}, count(*) AS n_orders, CAST(sum(CAST(CASE WHEN o_orderkey % 50 = 1 THEN 1 ELSE o_totalprice END
+        AS DECIMAL(18, 2))) AS DOUBLE) AS total FROM orders GROUP BY ALL"""
+)
+def publish_late_piece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months in key buckets; a late piece corrects the price of every fiftieth order and rewrites its buckets only."""
+    path = new_dir(spark, "orders")
+    orders = dated_orders(spark, sf_dir)
+    late = orders.where("o_orderkey % 50 = 1").withColumn("o_totalprice", F.lit(1.0))
+    for piece in (orders, late):
+        publish_incremental(piece, path, MONTH, key=["o_orderkey"], buckets=8)
+    return _totals(readers.read_table(spark, path))
 
 
 @query(

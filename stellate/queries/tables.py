@@ -184,7 +184,8 @@ def port_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geography.port_codes(lines)
 
 
-# ---- country names shared by the next tables: nations and regions; the nations of region 1 are retired -----------
+# ---- country names shared by the next tables: nations and regions; those of region 1 are retired, others have
+# retired names of their own -----------
 
 
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,18 +193,20 @@ def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.select(F.col("n_name").alias("reference_country")).union(region.select("r_name"))
 
 
+_OLD_NAME = "CASE WHEN n_regionkey = 1 THEN n_name ELSE 'once ' || n_name END"
+
+
 def _former(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     return (
-        nation.where("n_regionkey = 1")
-        .join(region, F.expr("n_regionkey = r_regionkey"))
-        .select(F.col("n_name").alias("former_country_name"), F.col("r_name").alias("new_country_names"))
+        nation.join(region, F.expr("n_regionkey = r_regionkey"))
+        .select(F.expr(_OLD_NAME).alias("former_country_name"), F.col("r_name").alias("new_country_names"))
     )
 
 
 _NAMES_SQL = "names AS (SELECT n_name AS name FROM nation UNION ALL SELECT r_name FROM region)"
-_FORMER_SQL = f"""former AS (SELECT {norm_sql('n_name')} AS fnorm, r_name FROM nation
-    JOIN region ON n_regionkey = r_regionkey WHERE n_regionkey = 1)"""
+_FORMER_SQL = f"""former AS (SELECT {norm_sql(f'({_OLD_NAME})')} AS fnorm, r_name FROM nation
+    JOIN region ON n_regionkey = r_regionkey)"""
 
 
 def _standardised_sql(source: str, col: str, cleaned: str | None = None, min_score: int | None = 70) -> str:

@@ -1,6 +1,7 @@
 """Scans, sinks, repeated publishing, streaming."""
 
 import glob
+import os
 import re
 
 import pytest
@@ -289,3 +290,35 @@ def test_rejected_cells(spark):
     out = conform(df, {"a": "int", "b": "double", "c": "date", "missing": "int"}, rejects="lost")
     assert [(r.a, r.b, str(r.c)) for r in out.collect()] == [(1, 2.0, "None"), (None, None, "None"), (None, 100.0, "2016-01-01")]
     assert sorted(tuple(r) for r in rejected(out, "lost").collect()) == [("a", "3.5"), ("a", "a"), ("c", "x")]
+
+
+def _files(path):
+    return {f: os.path.getsize(f) for f in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+
+
+def test_a_late_piece_rewrites_its_buckets_only(spark, tmp_path):
+    path, key = f"{tmp_path}/t", ["cicid"]
+    whole = month(spark, 1, range(4000))
+    publish_incremental(whole, path, MONTH, key=key, buckets=16)
+    before, written = _files(path), {}
+    assert len(before) == 16
+    for n in (1, 4, 4000):
+        publish_incremental(month(spark, 1, range(n), "late"), path, MONTH, key=key, buckets=16)
+        after = _files(path)
+        written[n] = sum(size for f, size in after.items() if f not in before)
+        assert len(set(after) - set(before)) <= n
+        before = after
+    assert written[1] * 8 < written[4000] and written[4] * 3 < written[4000]
+    rows = readers.read_table(spark, path)
+    assert rows.count() == 4000 and rows.where("note = 'late'").count() == 4000
+
+
+def test_buckets_keep_rows_without_key(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    df = month(spark, 1, [None, None, 3, 3]).withColumn("note", F.when(F.col("cicid").isNull(), F.monotonically_increasing_id().cast("string")).otherwise("x"))
+    df = spark.createDataFrame(df.collect(), df.schema)
+    for _ in range(2):
+        publish_incremental(df, path, MONTH, key=["cicid"], buckets=4)
+    assert readers.read_table(spark, path).count() == 3
+    with pytest.raises(ValueError):
+        publish_incremental(df, path, MONTH, buckets=4)
