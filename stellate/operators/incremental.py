@@ -65,10 +65,17 @@ def merge_with_published(
     Rows with a null in their key all stay; one that is published again adds nothing. Only the partitions that occur in the
     batch are read, under the batch's types. The batch is read twice.
     """
-    if not table_exists(df.sparkSession, path):
+    published = read_table(df.sparkSession, path, schema=df.schema) if table_exists(df.sparkSession, path) else None
+    return merged(df, published, partition_by, key, order_by)
+
+
+def merged(
+    df: DataFrame, published: DataFrame | None, partition_by: Sequence[str], key: Sequence[str], order_by: Sequence[Column | str]
+) -> DataFrame:
+    """``merge_with_published`` for a table that is read already; ``None`` if there is none."""
+    if published is None:
         return one_per_key(df, key, order_by)
-    published = read_table(df.sparkSession, path, schema=df.schema)
-    kept = partitions_of(df, partition_by, published).select(*df.columns)
+    kept = (partitions_of(df, partition_by, published) if partition_by else published).select(*df.columns)
     both = union_all(df.withColumn("__age", F.lit(0)), kept.withColumn("__age", F.lit(1)))
     return one_per_key(both, key, ["__age", *order_by]).drop("__age")
 

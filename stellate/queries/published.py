@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.aggregates import union_all
 from ..operators.incremental import pending, publish_incremental
 from ..operators.shape import conform, rejected
+from ..operators.versions import Piece, publish_version, read_version
 from ..sources import readers, sinks
 from ..sources.workspace import new_dir
 from ..streaming import stream_files
@@ -206,6 +207,29 @@ def land_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_all(first.withColumn("batch", F.lit("first")), second.withColumn("batch", F.lit("second")))
 
 
+@query(
+    f"""SELECT 'fact' AS name, {YEAR_MONTH}, count(*) AS n FROM orders GROUP BY ALL
+        UNION ALL SELECT 'time', CAST(year(d) AS INTEGER), CAST(month(d) AS INTEGER), count(*)
+          FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) GROUP BY ALL
+        UNION ALL SELECT 'log', NULL, NULL, count(DISTINCT o_orderstatus) FROM orders"""
+)
+def publish_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact, dates and the log of what was published become visible together, in three versions, one of them twice."""
+    root, orders = new_dir(spark, "orders"), dated_orders(spark, sf_dir)
+    for statuses in (["O"], ["F", "P"], ["O"]):
+        piece = orders.where(F.col("o_orderstatus").isin(statuses))
+        pieces = {
+            "fact": Piece(piece, MONTH, key=["o_orderkey"]),
+            "time": Piece(piece.select(F.col("arrival_date").alias("date"), *MONTH).distinct(), MONTH, key=["date"]),
+            "log": Piece(piece.select("o_orderstatus").distinct(), [], key=["o_orderstatus"]),
+        }
+        publish_version(spark, root, pieces)
+    count = lambda t, cols: read_version(spark, root, t).groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    nothing = [F.lit(None).cast("int").alias(c) for c in MONTH]
+    dated = [count(t, MONTH).select(F.lit(t).alias("name"), *MONTH, "n") for t in ("fact", "time")]
+    return union_all(*dated, count("log", []).select(F.lit("log").alias("name"), *nothing, "n"))
+
+
 _MONTH_LABEL = "strftime(o_orderdate, '%Y-%m')"
 
 
