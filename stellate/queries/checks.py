@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..operators.aggregates import union_all
+from ..operators.incremental import publish_incremental
+from ..operators.key_state import incremental_key_report
 from ..sources.sinks import publish
 from ..sources.workspace import new_dir
-from .registry import query, table
+from .registry import dated_orders, query, table
 
 KEYS = {
     "region": ["r_regionkey"],
@@ -89,3 +91,23 @@ def suite_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
     except ValueError as e:
         message = str(e)
     return spark.createDataFrame([(message, 2)], "message string, published long")
+
+
+_STATED = "(SELECT *, CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 50 = 1 THEN 7 ELSE o_orderkey END AS k FROM orders)"
+
+
+@query(
+    f"""SELECT 'orders' AS table_name, 'not_empty' AS check_name, CAST(0 AS BIGINT) AS failed_rows, TRUE AS passed
+        UNION ALL SELECT 'orders', 'not_null', count(*) FILTER (k IS NULL), count(*) FILTER (k IS NULL) = 0 FROM {_STATED}
+        UNION ALL SELECT 'orders', 'unique', count(*), count(*) = 0
+          FROM (SELECT k FROM {_STATED} WHERE k IS NOT NULL GROUP BY k HAVING count(*) > 1)"""
+)
+def incremental_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of a table that grows month by month: the last check reads the months since the one before only."""
+    path, state = new_dir(spark, "orders"), new_dir(spark, "orders-keys")
+    k = F.expr("IF(o_orderkey % 9 = 0, NULL, IF(o_orderkey % 50 = 1, 7, o_orderkey))")
+    orders = dated_orders(spark, sf_dir).select(k.alias("k"), "year", "month")
+    for piece in (orders.where("month <= 10"), orders.where("month > 10")):
+        publish_incremental(piece, path, ["year", "month"])
+        report, _ = incremental_key_report(spark, path, ["k"], state, ["year", "month"], "orders")
+    return report
