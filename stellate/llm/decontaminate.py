@@ -222,6 +222,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """Rows of ``docs`` that are not contaminated, with its columns."""
+    """Rows of ``docs`` that are not contaminated, with its columns.
+
+    Null and empty texts have no words and stay; very long ones are searched whole; repeated rows and ids stay or go each. An
+    empty benchmark removes nothing, an empty table gives no rows. Columns may have any name.
+    """
     plain, back = neutral(docs, "text")
     return back(contamination(plain, benchmark, **options).where(~F.col("contaminated")))

@@ -7,7 +7,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+#: Tasks that read a list of files at most; each takes its files one after the other.
+MOST_READERS = 20_000
 
 
 def open_fs(uri: str) -> tuple[fs.FileSystem, str]:
@@ -19,6 +22,18 @@ def open_fs(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder's whole URI, as Spark understands it: a path without a scheme belongs to the cluster's default file system,
+    which need not be the local one that ``open_fs`` takes it for."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def readers(files: DataFrame) -> DataFrame:
+    """A list of files dealt to tasks: one each, or several if there are more than ``MOST_READERS``."""
+    return files.repartition(min(max(1, files.count()), MOST_READERS))
+
+
 def join(folder: str, *parts: str) -> str:
     return "/".join([folder.rstrip("/"), *parts])
 

@@ -226,7 +226,12 @@ def identify_pages(pages: DataFrame, labelled: DataFrame, languages: tuple[str,
 
 
 def keep_identified(docs: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
-    """Rows of ``docs`` (text, lang as declared, source as host) whose language is accepted, with its columns."""
+    """Rows of ``docs`` (text, lang as declared, source as host) whose language is accepted, with its columns.
+
+    Null and empty texts, and texts without a letter, are rejected; very long ones are scored whole. A null ``lang`` declares
+    nothing, a null ``source`` has no prior of its own. Repeated rows stay or go each. An empty table gives no rows. Other columns
+    may have any name.
+    """
     plain, back = neutral(docs, "text")
     lang, source = (plain.columns[docs.columns.index(c)] for c in ("lang", "source"))
     rows = plain.withColumns({"declared": _primary(F.col(lang)), "host": F.col(source).cast("string")})

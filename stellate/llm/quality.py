@@ -254,7 +254,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", thre
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs`` that are predicted good, with its columns."""
+    """Rows of ``docs`` that are predicted good, with its columns.
+
+    Null and empty texts are scored like texts without tokens, very long ones whole; repeated rows and ids are kept or dropped
+    each. Without labels of both kinds all scores are the labels' share. An empty table gives no rows. Columns may have any
+    name.
+    """
     vectors, network = fit(docs, labels, key)
     plain, back = neutral(docs, "text")
     return back(scored(plain, vectors, network).where(F.col("score") >= threshold))

@@ -191,6 +191,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: i
     first, repeated ids in the order of their texts). Returns the manifest as read back, with each file's first token."""
     path = vocabulary or default_vocabulary()
     session = docs.sparkSession
+    folder = files.qualified(session, folder)
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, part, number = encoder(path), TaskContext.get().partitionId(), 0
@@ -231,6 +232,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str | None = None, end_id: i
 
 def read(manifest: DataFrame, folder: str) -> DataFrame:
     """One row per document of the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
+    folder = files.qualified(manifest.sparkSession, folder)
     placed = running_start(manifest, "part", "number", "tokens", "first_token").select("final", "first_token")
 
     def get(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -248,8 +250,7 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    spread = placed.repartition(max(1, placed.count()))
-    return spread.mapInArrow(get, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.readers(placed).mapInArrow(get, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_files(docs: DataFrame, folder: str | None = None, vocabulary: str | None = None) -> DataFrame:

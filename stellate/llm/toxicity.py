@@ -302,7 +302,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFra
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` that are not toxic, with its columns."""
+    """Rows of ``docs`` that are not toxic, with its columns.
+
+    Null, empty and very long texts are scored like others, whole; repeated rows and ids are kept or dropped each.
+    Without labelled toxic documents nothing is toxic. An empty table gives no rows. Columns may have any name.
+    """
     chosen, chain = fit(docs, labels, key)
     plain, back = neutral(docs, "text")
     return back(scored(plain, chosen, chain).where(F.col("toxic") < chain.threshold))

@@ -198,6 +198,7 @@ def write(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, date: str
     A null html is an empty payload; null ids and urls leave their header out. Repeated rows have a record each.
     """
     session = pages.sparkSession
+    folder = files.qualified(session, folder)
     bounds = _ranges(pages)
 
     @F.pandas_udf("int")
@@ -257,6 +258,7 @@ def _info(name: str, date: str) -> bytes:
 def read(manifest: DataFrame, folder: str) -> DataFrame:
     """One row per response or revisit of the listed archives. Digests are checked; a response's digest and length are
     those of the payload as read, a revisit's those of its headers."""
+    folder = files.qualified(manifest.sparkSession, folder)
 
     def get(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store_, place = files.open_fs(folder)
@@ -275,8 +277,7 @@ def read(manifest: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, kind)
 
-    listed = manifest.select("final")
-    return listed.repartition(max(1, listed.count())).mapInArrow(get, RECORD)
+    return files.readers(manifest.select("final")).mapInArrow(get, RECORD)
 
 
 def round_trip(pages: DataFrame, folder: str | None = None, roll_bytes: int = ROLL_BYTES) -> DataFrame:

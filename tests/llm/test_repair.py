@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from stellate.llm import queries
+from stellate.llm import files, queries
 from stellate.llm.repair import Shard, compress, expansion_lengths, expand, read, token_files, write
 from stellate.llm.tokens import default_vocabulary
 from stellate.sources.workspace import new_dir
@@ -111,3 +111,24 @@ def test_files_of_a_large_vocabulary(spark, tmp_path):
     for r in out:
         ids = own.encode(texts[r["doc_id"]]).ids + [1]
         assert max(ids) > 1 << 16 and (r["n_tokens"], r["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+
+
+def test_folders_belong_to_spark_s_file_system(spark, monkeypatch):
+    """A path without scheme is one of the cluster's default file system, for Spark and for the tasks alike."""
+    assert files.qualified(spark, "/some/where") == "file:/some/where"
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    before = settings.get("fs.defaultFS")
+    settings.set("fs.defaultFS", "viewfs://store/")
+    settings.set("fs.viewfs.mounttable.store.link./in", "file:///tmp")
+    try:
+        assert files.qualified(spark, "/in/x") == "viewfs://store/in/x"
+    finally:
+        settings.set("fs.defaultFS", before)
+
+
+def test_many_files_have_bounded_readers(spark, monkeypatch):
+    monkeypatch.setattr(files, "MOST_READERS", 3)
+    folder = new_dir(spark, "ids")
+    manifest = write(cases.documents(spark), folder, shard_tokens=50_000)
+    out = read(manifest, folder)
+    assert manifest.count() > 3 and out.rdd.getNumPartitions() == 3 and out.count() == cases.documents(spark).count()
