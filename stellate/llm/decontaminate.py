@@ -6,8 +6,10 @@ task that scans them, without a shuffle. A word that no window has can't be part
 and a run of the others that is shorter than the shortest window is left out; what remains is indexed. All windows are
 searched backwards at once, their occurrences located by the sampled positions, and merged into spans to remove.
 
-The benchmark is read in blocks of a bounded size, so that it may be larger than a task's memory: documents pass one block
-after the other and carry the spans and items found so far. Words are compared by 64-bit hashes.
+The benchmark is read in blocks of a bounded size, so that it may be larger than the driver's or a task's memory: documents
+pass one block after the other and carry the spans and items found so far, written to the shared folder in between, so that a
+task never holds more than one block. Words are searched by 64-bit hashes; the words of each occurrence are then compared by
+their bytes.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from .arrow import offsets, slices
+from ..sources.workspace import discard, new_dir
+from .arrow import offsets, ragged_take, slices
 from .columns import neutral
 from .fmindex import FMIndex
 from .words import Table, buffer_of, hashes, runs
@@ -30,7 +33,9 @@ WINDOW = 13
 #: Words of documents in one index, give or take a batch.
 SHARD_WORDS = 1 << 20
 #: Text of benchmark items in one block.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+#: Words compared by their bytes at a time.
+COMPARED = 1 << 16
 
 _SPAN = StructType([StructField("start", LongType()), StructField("end", LongType())])
 _STATE = [StructField("_hits", ArrayType(_SPAN)), StructField("_items", ArrayType(StringType()))]
@@ -47,14 +52,45 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def words_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first and last byte (in its own text) of each word, and the number of the first word of each text."""
+@dataclass
+class Words:
+    """Words of some texts: their hashes, where they lie in ``data`` (lower-cased bytes of all texts), the number of the first
+    word of each text, and where each text's bytes begin."""
+
+    hashed: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    first: np.ndarray
+    data: np.ndarray
+    at: np.ndarray
+
+    @classmethod
+    def joined(cls, parts: list["Words"]) -> "Words":
+        words, size = offsets(np.array([len(p.hashed) for p in parts])), offsets(np.array([len(p.data) for p in parts]))
+        shifted = lambda of, by: np.concatenate([of(p) + b for p, b in zip(parts, by)])
+        return cls(
+            np.concatenate([p.hashed for p in parts]), shifted(lambda p: p.start, size), shifted(lambda p: p.end, size),
+            np.append(shifted(lambda p: p.first[:-1], words), words[-1]), np.concatenate([p.data for p in parts]), np.append(shifted(lambda p: p.at[:-1], size), size[-1]),
+        )
+
+
+def words_of(column: pa.Array) -> Words:
     data, at = buffer_of(column)
     data = LOWER[data]
     start, end = runs(IS_WORD[data])
-    first = np.searchsorted(start, at)
-    base = np.repeat(at[:-1], np.diff(first))
-    return hashes(data, start, end), start - base, end - base, first
+    return Words(hashes(data, start, end), start, end, np.searchsorted(start, at), data, at)
+
+
+def same_bytes(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray, other_start: np.ndarray, other_end: np.ndarray) -> np.ndarray:
+    """Whether ``data[start:end]`` and ``other[other_start:other_end]`` are equal, for each word; none is empty."""
+    out = end - start == other_end - other_start
+    equal = np.flatnonzero(out)
+    for i in range(0, len(equal), COMPARED):
+        rows = equal[i : i + COMPARED]
+        size = end[rows] - start[rows]
+        differ = data[ragged_take(start[rows], size)] != other[ragged_take(other_start[rows], size)]
+        out[rows] = np.add.reduceat(differ, offsets(size)[:-1], dtype=np.int64) == 0
+    return out
 
 
 @dataclass
@@ -62,43 +98,52 @@ class Phrases:
     """Distinct windows of some benchmark items, in numbers from 1 for the words that they have."""
 
     vocabulary: np.ndarray
+    data: np.ndarray  # bytes of the vocabulary's words, one after the other
+    word_at: np.ndarray
     patterns: np.ndarray
     lengths: np.ndarray
     owners: np.ndarray  # items of each window, one after the other
     owner_at: np.ndarray
     items: list[str]
 
+    @classmethod
+    def none(cls, window: int) -> "Phrases":
+        whole, one = np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        return cls(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint8), one, np.zeros((0, window), dtype=np.int32), whole, whole, one, [])
+
 
 def phrases(items: list[tuple[str, str | None]], window: int = WINDOW) -> Phrases | None:
     """None if no item has a word."""
-    hashed, _, _, first = words_of(pa.array([t for _, t in items], pa.large_string()))
-    if not len(hashed):
+    words = words_of(pa.array([t for _, t in items], pa.large_string()))
+    if not len(words.hashed):
         return None
-    vocabulary, numbers = np.unique(hashed, return_inverse=True)
+    vocabulary, place, numbers = np.unique(words.hashed, return_index=True, return_inverse=True)
+    size = words.end[place] - words.start[place]
+    data, word_at = words.data[ragged_take(words.start[place], size)], offsets(size)
+    if not same_bytes(words.data, words.start, words.end, data, word_at[numbers], word_at[numbers + 1]).all():
+        raise ValueError("two different words of the benchmark have the same hash")
     names = sorted({name for name, _ in items})
     index = {name: i for i, name in enumerate(names)}
-    seen: dict[bytes, int] = {}
-    owners: list[set[int]] = []
-    rows: list[np.ndarray] = []
-    for k, (name, _) in enumerate(items):
-        own = numbers[first[k] : first[k + 1]].astype(np.int32) + 1
-        for i in range(max(1, len(own) - window + 1) if len(own) else 0):
-            piece = own[i : i + window]
-            at = seen.setdefault(piece.tobytes(), len(rows))
-            if at == len(rows):
-                rows.append(piece)
-                owners.append(set())
-            owners[at].add(index[name])
-    patterns = np.zeros((len(rows), window), dtype=np.int32)
-    for i, row in enumerate(rows):
-        patterns[i, : len(row)] = row
-    flat = np.array([o for own in owners for o in sorted(own)], dtype=np.int64)
-    return Phrases(vocabulary, patterns, np.array([len(r) for r in rows], dtype=np.int64), flat, offsets(np.array([len(o) for o in owners])), names)
-
-
-def find(known: Phrases, table: Table, hashed: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[set[int]]]:
+    item = np.array([index[name] for name, _ in items], dtype=np.int64)
+    count = np.diff(words.first)
+    windows = np.where(count > 0, np.maximum(1, count - window + 1), 0)
+    start = ragged_take(words.first[:-1], windows)
+    length = np.repeat(np.minimum(count, window), windows)
+    patterns = np.zeros((len(start), window), dtype=np.int32)
+    for k in range(window):
+        there = length > k
+        patterns[there, k] = numbers[start[there] + k] + 1
+    # rows of different length differ, as 0 is no word
+    row = patterns.view(np.dtype((np.void, patterns.itemsize * window))).ravel()
+    _, one, which = np.unique(row, return_index=True, return_inverse=True)
+    pairs = np.unique(which.astype(np.int64) * len(names) + np.repeat(item, windows))
+    owner_at = np.searchsorted(pairs // len(names), np.arange(len(one) + 1))
+    return Phrases(vocabulary, data, word_at, patterns[one], length[one].astype(np.int64), pairs % len(names), owner_at, names)
+
+
+def find(known: Phrases, table: Table, words: Words) -> tuple[np.ndarray, np.ndarray, list[set[int]]]:
     """Words of a shard inside an occurrence (as starts and ends of merged runs of word numbers), and each text's items."""
-    numbers = table.find(hashed) + 1
+    numbers, first = table.find(words.hashed) + 1, words.first
     none: list[set[int]] = [set() for _ in range(len(first) - 1)]
     if not len(known.lengths):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), none
@@ -120,6 +165,14 @@ def find(known: Phrases, table: Table, hashed: np.ndarray, first: np.ndarray) ->
     low, high = index.search(known.patterns, known.lengths)
     at, which = index.locate(low, high)
     at = place[at]
+    # an occurrence stands if its words have the bytes of the window's
+    inside = np.unique(ragged_take(at, known.lengths[which]))
+    own = numbers[inside] - 1
+    wrong = np.zeros(len(numbers) + 1, dtype=np.int64)
+    wrong[inside + 1] = ~same_bytes(words.data, words.start[inside], words.end[inside], known.data, known.word_at[own], known.word_at[own + 1])
+    wrong = np.cumsum(wrong)
+    true = wrong[at + known.lengths[which]] == wrong[at]
+    at, which = at[true], which[true]
     edge = np.bincount(at, minlength=len(numbers) + 1) - np.bincount(at + known.lengths[which], minlength=len(numbers) + 1)
     hit_start, hit_end = runs(np.cumsum(edge)[:-1] > 0, cut[:-1])
     text = np.searchsorted(first, at, side="right") - 1
@@ -136,15 +189,13 @@ def _pass(rest: list[str], known: Phrases, last: bool, shard_words: int):
         held: list[tuple] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            lengths = [len(h[1][0]) for h in held]
-            hashed = np.concatenate([h[1][0] for h in held])
-            base = offsets(np.array(lengths))
-            first = np.concatenate([h[1][3][:-1] + b for h, b in zip(held, base)] + [base[-1:]])
-            start, end, items = find(known, table, hashed, first)
+            words = Words.joined([own for _, own in held])
+            first, base = words.first, words.at
+            start, end, items = find(known, table, words)
             text = np.searchsorted(first, start, side="right") - 1
             upto = np.searchsorted(text, np.arange(len(first)))
             row = 0
-            for batch, (_, byte_start, byte_end, own_first) in held:
+            for batch, own_words in held:
                 n = batch.num_rows
                 hits, names, counts, spans = [], [], [], []
                 before_hits, before_items = batch.column("_hits").to_pylist(), batch.column("_items").to_pylist()
@@ -154,12 +205,12 @@ def _pass(rest: list[str], known: Phrases, last: bool, shard_words: int):
                     merged = _merge(own, [(h["start"], h["end"]) for h in before_hits[k]])
                     hits.append([{"start": x, "end": y} for x, y in merged])
                     counts.append(sum(y - x for x, y in merged))
-                    f = own_first[k]
-                    spans.append([{"start": int(byte_start[f + x]), "end": int(byte_end[f + y - 1])} for x, y in merged])
+                    f, to = first[row + k], base[row + k]
+                    spans.append([{"start": int(words.start[f + x] - to), "end": int(words.end[f + y - 1] - to)} for x, y in merged])
                     names.append(sorted({*before_items[k], *(known.items[i] for i in items[row + k])}))
                 row += n
                 if last:
-                    made = [pa.array(np.diff(own_first)), pa.array(counts, pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array(spans, _spans())]
+                    made = [pa.array(np.diff(own_words.first)), pa.array(counts, pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array(spans, _spans())]
                     fields = [f.name for f in FOUND]
                 else:
                     made = [pa.array(hits, _spans()), pa.array(names, pa.list_(pa.string()))]
@@ -169,7 +220,7 @@ def _pass(rest: list[str], known: Phrases, last: bool, shard_words: int):
 
         for batch in slices(batches, "text"):
             held.append((batch, words_of(batch.column("text"))))
-            if sum(len(h[1][0]) for h in held) >= shard_words:
+            if sum(len(own.hashed) for _, own in held) >= shard_words:
                 yield from flush()
         if held:
             yield from flush()
@@ -209,15 +260,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     now = now.withColumns({"_hits": F.array().cast(ArrayType(_SPAN)), "_items": F.array().cast("array<string>")})
-    known = []
+    before = None
     for b in range(blocks):
-        # one block of the stated size goes to the driver and to the tasks at a time
-        block = phrases([tuple(r) for r in items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).collect()], window)
-        if block is not None or b == blocks - 1:
-            known.append(block or Phrases(np.zeros(0, dtype=np.uint64), np.zeros((0, window), dtype=np.int32), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64), []))
-    for b, block in enumerate(known):
-        last = b == len(known) - 1
-        now = now.mapInArrow(_pass([f.name for f in rest], block, last, shard_words), StructType([*rest, *(FOUND if last else _STATE)]))
+        # one block of the stated size is on the driver, and in a task, at a time
+        known = phrases([tuple(r) for r in items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).collect()], window)
+        last = b == blocks - 1
+        if known is None and not last:
+            continue
+        now = now.mapInArrow(_pass([f.name for f in rest], known or Phrases.none(window), last, shard_words), StructType([*rest, *(FOUND if last else _STATE)]))
+        if not last:
+            path = new_dir(docs.sparkSession, "contamination")
+            schema = now.schema
+            now.write.parquet(path)
+            now = docs.sparkSession.read.schema(schema).parquet(path)
+            if before:
+                discard(docs.sparkSession, before)
+            before = path
     return now.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
 
 

@@ -4,10 +4,12 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stellate.llm import queries
-from stellate.llm.decontaminate import contamination, remove_contaminated
+from stellate.llm import decontaminate
+from stellate.llm.decontaminate import contamination, find, phrases, remove_contaminated, words_of
 from stellate.llm.fmindex import FMIndex, Wavelet, suffix_array
 
 from ..compare import connect, differences
@@ -105,6 +107,36 @@ def test_odd_tables_in_one_block_and_in_many(spark, options):
     assert kept.count() == sum(not r["contaminated"] for r in cases.collect(found))
 
 
+def test_many_blocks_take_one_stage_and_one_block_at_a_time(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(decontaminate, "phrases", lambda items, window: sent.append(len(items)) or phrases(items, window))
+    items = spark.createDataFrame([(i, f"item number {i} has words of its own {i * 7}") for i in range(60)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"before item number {i} has words of its own {i * 7} after") for i in range(0, 90, 3)], "doc_id long, text string")
+    found = contamination(docs, items, block_bytes=200)
+    assert len(sent) >= 10 and sum(sent) == 60 and max(sent) < 30
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r["doc_id"]: r["items"] for r in cases.collect(found)} == {i: [str(i)] if i < 60 else [] for i in range(0, 90, 3)}
+
+
+def test_occurrences_are_compared_by_bytes():
+    known = phrases([("a", "brown fox jumps"), ("b", "lazy dog")])
+    words = words_of(pa.array(["the brown fox jumps", None, "a lazy dog"], pa.string()))
+    table = decontaminate.Table.of(known.vocabulary)
+    start, end, items = find(known, table, words)
+    assert list(zip(start.tolist(), end.tolist())) == [(1, 4), (5, 7)] and [sorted(x) for x in items] == [[0], [], [1]]
+    # as if another word had the hash of "fox"
+    words.data[int(words.start[2])] = ord("b")
+    start, end, items = find(known, table, words)
+    assert list(zip(start.tolist(), end.tolist())) == [(5, 7)] and [sorted(x) for x in items] == [[], [], [1]]
+
+
+def test_equal_hashes_in_the_benchmark_stop_the_run(monkeypatch):
+    monkeypatch.setattr(decontaminate, "hashes", lambda data, start, end: (end - start).astype(np.uint64))
+    with pytest.raises(ValueError):
+        phrases([("a", "fox dog")])
+    assert phrases([("a", "fox fox")]) is not None
+
+
 def test_spans_are_the_words_in_the_text(spark):
     items = spark.createDataFrame([(1, "Brown fox, jumps")], "item_id long, text string")
     docs = spark.createDataFrame([(1, "É a Brown  fox -- JUMPS over brown fox jumps.")], "doc_id long, text string")
