@@ -6,7 +6,8 @@ those probabilities are out-of-fold predictions, so that no model learns from an
 
 ``toxic`` is the given label. The two others are derived from it: a toxic document with several different indicating words.
 Features are a document's words and their beginnings and ends of several lengths, hashed; those are kept that labelled toxic
-documents have far more often than others. All models are fitted on at most ``TRAIN_ROWS`` labelled documents (a sample by
+documents have far more often than others. For the predictions of a fold the features, and with them the indicating words, are
+chosen without the labels of that fold. A category is never likelier than the wider ones that contain it. All models are fitted on at most ``TRAIN_ROWS`` labelled documents (a sample by
 the hash of their ids); every whole text is scored.
 """
 
@@ -89,9 +90,9 @@ class Words:
             self.features[to - len(new) : to] = found
         return rows, np.searchsorted(start, at)
 
-    def documents(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def documents(self, column: pa.Array, sets: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each text's different features, one text after the other; where each text's begin; how many different words of a
-        text have a feature."""
+        text have a feature. With ``sets`` (a row per set, whether a feature is in it), a column for each set's features."""
         rows, first = self.read(column)
         n = len(first) - 1
         text = np.repeat(np.arange(n), np.diff(first))
@@ -99,9 +100,12 @@ class Words:
         hit = np.flatnonzero(some[rows]) if len(rows) else np.zeros(0, dtype=np.int64)
         pairs = np.unique((text[hit] << 32) | rows[hit])
         text, rows = pairs >> 32, pairs & 0xFFFFFFFF
-        words = np.bincount(text, minlength=n)
         found = self.features[rows]
         keep = found >= 0
+        if sets is None:
+            words = np.bincount(text, minlength=n)
+        else:
+            words = np.stack([np.bincount(text[(own[found] & keep).any(axis=1)], minlength=n) for own in sets], axis=1)
         pairs = np.unique((np.repeat(text, keep.sum(axis=1)) << 32) | found[keep])
         return pairs & 0xFFFFFFFF, np.searchsorted(pairs >> 32, np.arange(n + 1)), words
 
@@ -136,6 +140,12 @@ class Rows:
         return Rows(np.concatenate(pieces) if pieces else self.features[:0], offsets(length), self.width)
 
 
+    def only(self, kept: np.ndarray) -> "Rows":
+        """Without the features that are not in ``kept`` (true or false for each)."""
+        keep = kept[self.features]
+        return Rows(self.features[keep], offsets(np.bincount(self.row_of()[keep], minlength=self.n)), self.width)
+
+
 @dataclass
 class Linear:
     weights: np.ndarray
@@ -177,22 +187,37 @@ class Chain:
         dense = np.log1p(words)[:, None].astype(np.float64)
         for model in self.models:
             dense = np.concatenate([dense, model.probability(rows, dense)[:, None]], axis=1)
-        return dense[:, 1:]
+        # a category is a part of the next one
+        return np.minimum.accumulate(dense[:, :0:-1], axis=1)[:, ::-1]
+
 
+def train_models(rows: Rows, words: np.ndarray, labels: list[np.ndarray], folds: np.ndarray, sets: np.ndarray | None = None) -> tuple[list[Linear], np.ndarray]:
+    """One model per category and the out-of-fold predictions, a column per category.
 
-def train_chain(rows: Rows, words: np.ndarray, labels: list[np.ndarray], folds: np.ndarray) -> Chain:
-    """``labels``: one vector per category, in the chain's order. The threshold is the best F1 out of fold."""
-    dense = np.log1p(words)[:, None].astype(np.float64)
-    models = []
-    for y in labels:
-        outside = np.zeros(rows.n)
+    ``words`` and each category's ``labels`` (in the chain's order) have a column per fold, as they are by the features chosen
+    without it, and one by the features chosen from all folds; or one vector where they are the same. ``sets`` tells in the
+    same order which features were chosen.
+    """
+    wide = lambda x: x if x.ndim == 2 else np.repeat(x[:, None], FOLDS + 1, axis=1)
+    views = [rows if sets is None else rows.only(own) for own in (range(FOLDS + 1) if sets is None else sets)]
+    count, before, models = np.log1p(wide(words)).astype(np.float64), np.zeros((rows.n, 0)), []
+    for given in labels:
+        y, outside = wide(given), np.zeros(rows.n)
         for fold in range(FOLDS):
             test, rest = np.flatnonzero(folds == fold), np.flatnonzero(folds != fold)
+            dense = np.concatenate([count[:, fold : fold + 1], before], axis=1)
             if len(test) and len(rest):
-                outside[test] = train(rows.take(rest), dense[rest], y[rest]).probability(rows.take(test), dense[test])
-        models.append(train(rows, dense, y))
-        dense = np.concatenate([dense, outside[:, None]], axis=1)
-    score, y = dense[:, -1], labels[-1]
+                outside[test] = train(views[fold].take(rest), dense[rest], y[rest, fold]).probability(views[fold].take(test), dense[test])
+        models.append(train(views[-1], np.concatenate([count[:, -1:], before], axis=1), y[:, -1]))
+        before = np.concatenate([before, outside[:, None]], axis=1)
+    return models, before
+
+
+def train_chain(rows: Rows, words: np.ndarray, labels: list[np.ndarray], folds: np.ndarray, sets: np.ndarray | None = None) -> Chain:
+    """The models of ``train_models``, and as threshold the best F1 out of fold for the last category."""
+    models, outside = train_models(rows, words, labels, folds, sets)
+    y = labels[-1] if labels[-1].ndim == 1 else labels[-1][:, -1]
+    score = outside[:, -1]
     grid = np.linspace(0.05, 0.95, 19)
     f1 = [2 * (y * (score >= t)).sum() / max(1, y.sum() + (score >= t).sum()) for t in grid]
     best = np.flatnonzero(np.array(f1) >= max(f1) - 1e-12)
@@ -203,77 +228,120 @@ def train_chain(rows: Rows, words: np.ndarray, labels: list[np.ndarray], folds:
 
 
 def _counts(known: DataFrame) -> np.ndarray:
-    """Documents with each feature, without and with the label."""
+    """Documents with each feature: by fold, without and with the label."""
+    cells = FOLDS * 2 * BUCKETS
+    width = cells // PARTS
+
+    def rows(total: np.ndarray, at: int) -> Iterator[pa.RecordBatch]:
+        """The counts that are not zero, cut into parts; ``at`` is the number of the first cell."""
+        there = np.flatnonzero(total)
+        for part in np.unique((there + at) // width).tolist():
+            low, high = np.searchsorted(there + at, [part * width, (part + 1) * width])
+            own = there[low:high]
+            cell, count = (own + at - part * width).astype(np.int32), total[own].astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([cell.tobytes()], pa.binary()), pa.array([count.tobytes()], pa.binary())], ["part", "cells", "counts"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total = Words(), np.zeros((2, BUCKETS), dtype=np.int64)
+        words, total = Words(), np.zeros(cells, dtype=np.int32)
         for batch in slices(batches, "text", CHUNK):
             features, at, _ = words.documents(batch.column("text"))
-            label = np.repeat(batch.column("label").to_numpy(), np.diff(at))
-            total += np.bincount(label * BUCKETS + features, minlength=2 * BUCKETS).reshape(2, -1)
-        if total.any():
-            for part, values in enumerate(np.split(total.astype(np.int32), PARTS, axis=1)):
-                yield _part(part, values)
+            group = 2 * batch.column("fold").to_numpy().astype(np.int64) + batch.column("label").to_numpy()
+            cell, times = np.unique(np.repeat(group, np.diff(at)) * BUCKETS + features, return_counts=True)
+            total[cell] += times.astype(np.int32)
+        yield from rows(total, 0)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for part, data in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
-                values = np.frombuffer(data, dtype=np.int32)
-                sums[part] = sums[part] + values if part in sums else values
-        for part, values in sums.items():
-            yield _part(part, values)
-
-    kind, width = "part int, counts binary", BUCKETS // PARTS
-    out = np.zeros((2, BUCKETS), dtype=np.int64)
-    # 2 x BUCKETS counts in all: 8 MB
-    for part, data in known.mapInArrow(count, kind).repartition("part").mapInArrow(add, kind).collect():
-        out[:, part * width : (part + 1) * width] = np.frombuffer(data, dtype=np.int32).reshape(2, width)
-    return out
-
+            for part, cell, counts in zip(*(batch.column(c).to_pylist() for c in ("part", "cells", "counts"))):
+                own = sums.setdefault(part, np.zeros(width, dtype=np.int32))
+                own[np.frombuffer(cell, dtype=np.int32)] += np.frombuffer(counts, dtype=np.int32)
+        for part, own in sums.items():
+            yield from rows(own, part * width)
 
-def _part(part: int, values: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.ascontiguousarray(values).tobytes()], pa.binary())], ["part", "counts"])
+    kind = "part int, cells binary, counts binary"
+    out = np.zeros(cells, dtype=np.int32)
+    # FOLDS x 2 x BUCKETS counts at most: 40 MB, and as many places
+    for part, cell, counts in known.mapInArrow(count, kind).repartition("part").mapInArrow(add, kind).toLocalIterator():
+        out[part * width + np.frombuffer(cell, dtype=np.int32)] = np.frombuffer(counts, dtype=np.int32)
+    return out.reshape(FOLDS, 2, BUCKETS)
 
 
 def choose(counts: np.ndarray, documents: np.ndarray) -> np.ndarray:
-    """Number of each bucket among the kept features, or -1. ``documents``: how many there are without and with the label."""
+    """Buckets kept as features. ``documents``: how many there are without and with the label."""
     clean, toxic = counts[0] + 0.5, counts[1] + 0.5
     odds = np.log(toxic / (documents[1] + 1 - toxic)) - np.log(clean / (documents[0] + 1 - clean))
     least = max(LEAST_DOCUMENTS, LEAST_SHARE * documents[1])
     good = np.flatnonzero((counts[1] >= least) & (odds >= LEAST_LOG_ODDS))
-    good = good[np.argsort(-(odds * np.sqrt(toxic))[good], kind="stable")[:MOST_FEATURES]]
+    return good[np.argsort(-(odds * np.sqrt(toxic))[good], kind="stable")[:MOST_FEATURES]]
+
+
+@dataclass
+class Sample:
+    """Labelled documents as the chain learns from them; the features chosen from all folds come first."""
+
+    buckets: np.ndarray  # of each feature
+    sets: np.ndarray
+    rows: Rows
+    words: np.ndarray
+    toxic: np.ndarray
+    folds: np.ndarray
+
+    def labels(self) -> list[np.ndarray]:
+        """Of each category, as ``train_models`` takes them."""
+        toxic = np.repeat(self.toxic[:, None], FOLDS + 1, axis=1)
+        return [toxic * (self.words >= SEVERE), toxic * (self.words >= REPEATED), toxic]
+
+
+def _numbers(buckets: np.ndarray) -> np.ndarray:
+    """Number of each bucket among the kept ones, or -1."""
     out = np.full(BUCKETS, -1, dtype=np.int32)
-    out[good] = np.arange(len(good))
+    out[buckets] = np.arange(len(buckets))
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", rows: int = TRAIN_ROWS) -> tuple[np.ndarray, Chain]:
-    """Kept features and chain, from the labelled documents."""
+def gather(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", rows: int = TRAIN_ROWS) -> Sample:
+    """At most about ``rows`` labelled documents, with the features chosen without each fold and from all."""
     sample = labelled(docs, labels, key, label, rows)
     texts = docs.select(F.col(key).alias("key"), F.col("text").cast("string").alias("text"))
     # the sampled labels are about TRAIN_ROWS rows of two numbers, whatever the corpus
     known = texts.join(F.broadcast(sample), "key").select("key", "label", "text")
     known = store(known.withColumn("fold", F.pmod(F.xxhash64(F.col("key").cast("string")), F.lit(FOLDS)).cast("int")), "labelled")
-    totals = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
-    documents = np.array([totals.get(0, 0), totals.get(1, 0)])
-    chosen = choose(_counts(known), documents)
+    documents = np.zeros((FOLDS, 2), dtype=np.int64)
+    for fold, value, n in known.groupBy("fold", "label").count().collect():
+        documents[fold, value] = n
+    counts = _counts(known)
+    whole, every = counts.sum(axis=0, dtype=np.int64), documents.sum(axis=0)
+    kept = [choose(whole - counts[k], every - documents[k]) for k in range(FOLDS)] + [choose(whole, every)]
+    buckets = np.concatenate([kept[-1], np.setdiff1d(np.concatenate(kept), kept[-1])])
+    numbers = _numbers(buckets)
+    sets = np.zeros((FOLDS + 1, len(buckets)), dtype=bool)
+    for own, chosen in zip(sets, kept):
+        own[numbers[chosen]] = True
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(chosen)
+        words = Words(numbers)
         for batch in slices(batches, "text", CHUNK):
-            features, at, count = words.documents(batch.column("text"))
+            features, at, count = words.documents(batch.column("text"), sets)
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(features, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("label"), batch.column("fold"), lists, pa.array(count)], ["key", "label", "fold", "features", "words"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("label"), batch.column("fold"), lists, pa.array(list(count), pa.list_(pa.int64()))], ["key", "label", "fold", "features", "words"])
 
-    kind = StructType([*[f for f in known.schema.fields if f.name != "text"], StructField("features", ArrayType(IntegerType())), StructField("words", LongType())])
-    kind = StructType([kind["key"], kind["label"], kind["fold"], kind["features"], kind["words"]])
+    kind = StructType([known.schema["key"], known.schema["label"], known.schema["fold"], StructField("features", ArrayType(IntegerType())), StructField("words", ArrayType(LongType()))])
     found = known.mapInArrow(described, kind).orderBy("key").select("label", "fold", "features", "words").collect()
     at = offsets(np.array([len(r["features"]) for r in found], dtype=np.int64))
-    matrix = Rows(np.array([f for r in found for f in r["features"]], dtype=np.int64), at, int(chosen.max()) + 1 if len(chosen) else 0)
-    toxic, words, fold = (np.array([r[c] for r in found], dtype=np.int64) for c in ("label", "words", "fold"))
-    given = [toxic * (words >= SEVERE), toxic * (words >= REPEATED), toxic]
-    return chosen, train_chain(matrix, words, given, fold)
+    matrix = Rows(np.array([f for r in found for f in r["features"]], dtype=np.int64), at, len(buckets))
+    words = np.array([r["words"] for r in found], dtype=np.int64).reshape(len(found), FOLDS + 1)
+    toxic, fold = (np.array([r[c] for r in found], dtype=np.int64) for c in ("label", "fold"))
+    return Sample(buckets, sets, matrix, words, toxic, fold)
+
+
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "toxic", rows: int = TRAIN_ROWS) -> tuple[np.ndarray, Chain]:
+    """Number of each bucket among the features chosen from all folds (or -1), and the chain."""
+    known = gather(docs, labels, key, label, rows)
+    chain = train_chain(known.rows, known.words, known.labels(), known.folds, known.sets)
+    width = int(known.sets[-1].sum())  # the models of the whole sample know no others
+    chain.models = [Linear(m.weights[:width], m.dense, m.bias) for m in chain.models]
+    return _numbers(known.buckets[:width]), chain
 
 
 def scored(docs: DataFrame, chosen: np.ndarray, chain: Chain) -> DataFrame:

@@ -100,6 +100,37 @@ def test_later_models_see_out_of_fold_predictions():
     assert rows.take(np.array([3, 1])).features.tolist() == [*features[3], *features[1]]
 
 
+def test_labels_that_mean_nothing_are_not_predicted_out_of_fold(spark):
+    rng = np.random.default_rng(4)
+    texts = [(i, " ".join(f"w{k:05d}x" for k in rng.integers(0, 80000, 400))) for i in range(800)]  # rare words, each in few documents
+    noise = spark.createDataFrame([(i, int(x)) for i, x in enumerate(rng.random(800) < 0.15)], "doc_id long, toxic int")
+    known = toxicity.gather(spark.createDataFrame(texts, "doc_id long, text string"), noise)
+    _, outside = toxicity.train_models(known.rows, known.words, known.labels(), known.folds, known.sets)
+    assert 0.4 < _auc(outside[:, -1], known.toxic) < 0.6
+    # features chosen with the labels of the predicted fold would look informative
+    widest = np.repeat(known.sets[-1:], toxicity.FOLDS + 1, axis=0)
+    words = np.repeat(known.words[:, -1:], toxicity.FOLDS + 1, axis=1)
+    _, leaking = toxicity.train_models(known.rows, words, [known.labels()[-1]], known.folds, widest)
+    assert _auc(leaking[:, -1], known.toxic) > 0.65
+
+
+def test_a_fold_is_predicted_without_its_labels(spark):
+    docs, labels = cases.documents(spark), cases.labels(spark)
+    first = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(toxicity.FOLDS)) == 0
+    turned = labels.withColumn("toxic", F.when(first, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    out = []
+    for given in (labels, turned):
+        known = toxicity.gather(docs, given)
+        models, outside = toxicity.train_models(known.rows, known.words, known.labels()[:1], known.folds, known.sets)
+        out.append(outside[known.folds == 0, 0])
+    assert len(out[0]) > 50 and np.allclose(out[0], out[1], atol=1e-9)
+
+
+def test_narrow_categories_are_never_likelier(spark):
+    out = toxicity.toxicity(cases.documents(spark), cases.labels(spark))
+    assert out.where("severe > repeated or repeated > toxic").count() == 0 and out.where("repeated > 0.5").count() > 0
+
+
 def test_toxicity_of_odd_and_empty_tables(spark):
     odd, labels = cases.odd_documents(spark), cases.labels(spark).limit(30)
     out = cases.collect(toxicity.toxicity(odd, labels))
