@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from ..sources.workspace import store
+from . import sums
 from .arrow import as_bytes, slices
 from .columns import neutral
 from .words import buffer_of
@@ -94,33 +95,19 @@ def text_model(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> n
             total += np.bincount(own * GRAMS + bucket, minlength=total.size).reshape(total.shape)
         if total.any():
             for part, values in enumerate(np.split(total, PARTS, axis=1)):
-                yield _part(part, values)
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part, data in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
-                values = np.frombuffer(data, dtype=np.int64)
-                sums[part] = sums[part] + values if part in sums else values
-        for part, values in sums.items():
-            yield _part(part, values)
+                yield sums.part(part, values)
 
     number = F.array_position(F.array(*map(F.lit, languages)), _primary(F.col("lang"))) - 1
     known = labelled.select(F.col("text").cast("string").alias("text"), number.cast("int").alias("language")).where("language >= 0 and text is not null")
-    kind = "part int, counts binary"
     total = np.zeros((len(languages), GRAMS), dtype=np.float64)
     width = GRAMS // PARTS
     # a fixed number of counts in all: languages x GRAMS
-    for part, data in known.mapInArrow(count, kind).repartition("part").mapInArrow(add, kind).collect():
+    for part, data in sums.added(known.mapInArrow(count, sums.KIND), np.int64).collect():
         total[:, part * width : (part + 1) * width] = np.frombuffer(data, dtype=np.int64).reshape(len(languages), width)
     share = (total + 0.5) / (total.sum(axis=1, keepdims=True) + 0.5 * GRAMS)
     return np.log((1 - UNKNOWN) * share + UNKNOWN / GRAMS)
 
 
-def _part(part: int, values: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.ascontiguousarray(values).tobytes()], pa.binary())], ["part", "counts"])
-
-
 def _primary(value: Column) -> Column:
     """``en`` of ``EN-us``."""
     return F.lower(F.regexp_extract(value, r"^\s*([A-Za-z]+)", 1))
@@ -155,9 +142,9 @@ def _softmax(log: Column) -> Column:
 def _sums(df: DataFrame, by: str, size: int) -> DataFrame:
     """Sum of the texts' posteriors for each value of a column."""
     total = F.array(*[F.sum(F.col("_own")[i]) for i in range(size)])
-    sums = df.where(F.col(by).isNotNull()).groupBy(by).agg(total.alias(f"_{by}_n"))
+    by_value = df.where(F.col(by).isNotNull()).groupBy(by).agg(total.alias(f"_{by}_n"))
     # stored, so that Spark knows its size before it plans the join: texts are not shuffled for a small table
-    return store(sums, f"{by}-evidence")
+    return store(by_value, f"{by}-evidence")
 
 
 def identify(rows: DataFrame, scores: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
+from . import sums
 from .arrow import slices
 from .columns import neutral
 from .sample import labelled
@@ -91,32 +92,18 @@ def contexts(docs: DataFrame) -> np.ndarray:
                     for k in range(NONZERO):
                         total += np.bincount(own * SIZE + place[other, k], weights=sign[other, k], minlength=len(total))
         if total.any():
-            for block, part in enumerate(np.array_split(total.reshape(ROWS, SIZE), -(-ROWS // BLOCK))):
-                yield _row(block, part.astype(np.float32))
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, part in zip(batch.column("block").to_pylist(), batch.column("part").to_pylist()):
-                values = np.frombuffer(part, dtype=np.float32).astype(np.float64)
-                sums[block] = sums[block] + values if block in sums else values
-        for block, values in sums.items():
-            yield _row(block, values.astype(np.float32))
-
-    kind = "block int, part binary"
-    parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(gather, kind)
+            for block, values in enumerate(np.array_split(total.reshape(ROWS, SIZE), -(-ROWS // BLOCK))):
+                yield sums.part(block, values.astype(np.float32))
+
+    parts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(gather, sums.KIND)
     whole = np.zeros((ROWS, SIZE), dtype=np.float32)
     limits = np.cumsum([0] + [len(p) for p in np.array_split(np.zeros(ROWS), -(-ROWS // BLOCK))])
     # ROWS x SIZE numbers in all: 8 MB
-    for block, part in parts.repartition("block").mapInArrow(add, kind).collect():
-        whole[limits[block] : limits[block + 1]] = np.frombuffer(part, dtype=np.float32).reshape(-1, SIZE)
+    for block, data in sums.added(parts, np.float32).collect():
+        whole[limits[block] : limits[block + 1]] = np.frombuffer(data, dtype=np.float32).reshape(-1, SIZE)
     return whole
 
 
-def _row(block: int, values: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([values.tobytes()], pa.binary())], ["block", "part"])
-
-
 def word_vectors(summed: np.ndarray) -> np.ndarray:
     """Index vector plus context of length 1, for each bucket."""
     place, sign = index_vectors()

@@ -36,6 +36,8 @@ MARGIN = 2.0
 PER_LIST, MOST_LISTS = 32, 2048
 CODES = 256
 MEMBERS, ASKED = 2048, 4096
+#: Distances computed at a time while centroids are fitted.
+DISTANCES = 1 << 22
 
 
 # ---- index -------------------------------------------------------------------------------------------------------
@@ -53,7 +55,10 @@ class Index:
 
 
 def _nearest(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    return np.argmin((centroids**2).sum(axis=1) - 2 * x @ centroids.T, axis=1)
+    """Number of the nearest centroid of each row, with a bounded number of distances in memory."""
+    square, rows = (centroids**2).sum(axis=1), max(1, DISTANCES // max(len(centroids), 1))
+    pieces = [np.argmin(square - 2 * x[at : at + rows] @ centroids.T, axis=1) for at in range(0, len(x), rows)]
+    return np.concatenate(pieces) if pieces else np.zeros(0, dtype=np.int64)
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 10, seed: int = 7) -> np.ndarray:

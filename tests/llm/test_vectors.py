@@ -91,3 +91,10 @@ def test_odd_and_empty_tables(spark):
     assert sorted(_got(vectors.near_duplicates(frame)), key=str) == sorted([(k, n, c, k == c) for k, n, c, _ in _brute(rows)], key=str)
     assert vectors.near_duplicates(frame.limit(0)).count() == 0
     assert vectors.near_duplicates(frame.limit(1)).count() == 1
+
+
+def test_centroids_need_a_bounded_number_of_distances(monkeypatch):
+    x = np.random.default_rng(2).normal(size=(500, 8))
+    whole = vectors.kmeans(x, 20)
+    monkeypatch.setattr(vectors, "DISTANCES", 150)  # seven rows at a time
+    assert np.allclose(vectors.kmeans(x, 20), whole)
