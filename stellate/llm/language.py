@@ -24,7 +24,12 @@ from .arrow import as_bytes, slices
 from .columns import neutral
 from .words import buffer_of
 
+#: Where no labelled row names a language.
 LANGUAGES = ("de", "en", "es", "fr")
+#: A language is learned if this share of the labelled rows has it; so there are 100 at most.
+LEAST_SHARE = 0.01
+#: Codes that name no language: several, uncoded, undetermined, no linguistic content.
+NO_LANGUAGE = ("mul", "mis", "und", "zxx")
 GRAM_BITS = 16
 GRAMS = 1 << GRAM_BITS
 #: Four-grams overlap: each counts as a quarter of an independent observation.
@@ -84,7 +89,16 @@ def grams(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return bucket[whole].astype(np.int64), text[3:][whole], letters
 
 
-def text_model(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
+def languages_of(labelled: DataFrame, least_share: float = LEAST_SHARE) -> tuple[str, ...]:
+    """The languages that at least a share of the labelled rows declares, ``LANGUAGES`` if there is none."""
+    given = labelled.select(_primary(F.col("lang")).alias("language")).where((F.col("language") != "") & ~F.col("language").isin(*NO_LANGUAGE))
+    least = least_share * given.count()
+    # 1 / least_share rows at most
+    found = given.groupBy("language").count().where(F.col("count") >= least).select("language").collect()
+    return tuple(sorted(r[0] for r in found)) or LANGUAGES
+
+
+def text_model(labelled: DataFrame, languages: tuple[str, ...]) -> np.ndarray:
     """Logarithm of each four-gram's probability in each language, from all rows of ``labelled`` (text, lang)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +161,7 @@ def _sums(df: DataFrame, by: str, size: int) -> DataFrame:
     return store(by_value, f"{by}-evidence")
 
 
-def identify(rows: DataFrame, scores: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
+def identify(rows: DataFrame, scores: DataFrame, languages: tuple[str, ...]) -> DataFrame:
     """``rows`` (with the text scores, and ``declared``, ``suffix``, ``domain`` and ``host``, each of which may be null or
     left out) with ``language``, ``probability`` and ``accepted``. ``scores`` are the stored rows of which the evidence is learned.
 
@@ -176,7 +190,9 @@ def identify(rows: DataFrame, scores: DataFrame, languages: tuple[str, ...] = LA
     others = lambda by, i: F.greatest(F.coalesce(F.col(f"_{by}_n")[i] - F.col("_own")[i], zero), zero) if by in there else zero
     domain = [others("domain", i) + DOMAIN_WEIGHT * prior[i] for i in range(size)]
     host = [others("host", i) for i in range(size)]
-    domain_sum = sum(domain[1:], domain[0])
+    # a column, as every language's term has it
+    out = out.withColumn("_domain_sum", sum(domain[1:], domain[0]))
+    domain_sum = F.col("_domain_sum")
     host_sum = sum(host[1:], host[0]) + HOST_WEIGHT
     place = F.array(*[F.log((h + HOST_WEIGHT * d / domain_sum) / host_sum) for h, d in zip(host, domain)])
     out = out.withColumn("_log", F.zip_with(log, place, lambda a, b: a + b)).withColumn("_p", _softmax(F.col("_log")))
@@ -188,15 +204,17 @@ def identify(rows: DataFrame, scores: DataFrame, languages: tuple[str, ...] = LA
             "probability": F.array_max("_p"),
             "accepted": (F.col("_letters") > 0) & (F.array_max("_p") >= LEAST) & likely,
         }
-    ).drop("_own", "_log", "_p", "_declared_n", "_suffix_n", "_domain_n", "_host_n")
+    ).drop("_own", "_log", "_p", "_declared_n", "_suffix_n", "_domain_n", "_host_n", "_domain_sum")
 
 
-def identify_pages(pages: DataFrame, labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
-    """Language of each page: page_id, language, probability, accepted, declared, suffix, host.
+def identify_pages(pages: DataFrame, labelled: DataFrame, languages: tuple[str, ...] | None = None) -> DataFrame:
+    """Language of each page: page_id, language, probability, accepted, declared, suffix, host. ``languages`` are those of the
+    labelled rows, if not given.
 
     Null or empty html has no text evidence and is not accepted, a null or odd address gives no evidence, repeated pages count
     each. An empty table gives no rows.
     """
+    languages = languages or languages_of(labelled)
     url = F.lower(F.col("url"))
     host = F.regexp_extract(url, r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1)
     none = lambda c: F.when(c != "", c)
@@ -212,13 +230,15 @@ def identify_pages(pages: DataFrame, labelled: DataFrame, languages: tuple[str,
     return identify(scores, scores, languages).select("page_id", "language", "probability", "accepted", "declared", "suffix", "host")
 
 
-def keep_identified(docs: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
-    """Rows of ``docs`` (text, lang as declared, source as host) whose language is accepted, with its columns.
+def keep_identified(docs: DataFrame, languages: tuple[str, ...] | None = None) -> DataFrame:
+    """Rows of ``docs`` (text, lang as declared, source as host) whose language is accepted, with its columns. ``languages``
+    are those that the rows declare, if not given.
 
     Null and empty texts, and texts without a letter, are rejected; very long ones are scored whole. A null ``lang`` declares
     nothing, a null ``source`` has no prior of its own. Repeated rows stay or go each. An empty table gives no rows. Other columns
     may have any name.
     """
+    languages = languages or languages_of(docs)
     plain, back = neutral(docs, "text")
     lang, source = (plain.columns[docs.columns.index(c)] for c in ("lang", "source"))
     rows = plain.withColumns({"declared": _primary(F.col(lang)), "host": F.col(source).cast("string")})

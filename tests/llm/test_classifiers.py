@@ -164,6 +164,33 @@ def test_evidence_beside_the_text_decides_short_pages(spark):
     assert found[200] == found[202] == "de" and found[201] == "en" and found[5] == "de" and found[110] == "en"
 
 
+def test_languages_are_those_of_the_labelled_rows(spark):
+    said = {
+        "de": "der die das und nicht ein schöner Tag im Garten", "en": "the and of a nice day in the garden with friends",
+        "es": "el la los y de un buen día en el jardín con amigos", "fr": "le la les et de une belle journée au jardin avec des amis",
+        "it": "il lo gli e di una bella giornata nel giardino con gli amici che sono qui", "NL-be": "de het een en van mooie dag in de tuin met vrienden die hier zijn",
+    }
+    rows = [(text, lang) for lang, text in said.items() for _ in range(40)] + [("kort", "sv")] * 2 + [("?", "und")] * 50 + [("x", None), (None, ""), ("y", "123")]
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    assert language.languages_of(labelled) == ("de", "en", "es", "fr", "it", "nl")
+    assert language.languages_of(labelled.limit(0)) == language.LANGUAGES
+    # nothing but the text tells the language of these pages
+    pages = spark.createDataFrame([(i, "http://h.example/", f"<p>{text}</p>") for i, text in enumerate(said.values())], "page_id long, url string, html string")
+    found = {r["page_id"]: r["language"] for r in cases.collect(language.identify_pages(pages, labelled))}
+    assert found == dict(enumerate(["de", "en", "es", "fr", "it", "nl"]))
+
+
+def test_many_languages(spark):
+    rng = np.random.default_rng(5)
+    words = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(30)] for _ in range(60)]
+    codes = [a + b for a in "abcdef" for b in "ghijklmnop"]
+    text = lambda k: " ".join(rng.choice(words[k], 20))
+    labelled = spark.createDataFrame([(text(k), codes[k]) for k in range(60) for _ in range(5)], "text string, lang string")
+    pages = spark.createDataFrame([(k, f"http://h{k % 7}.a.example/", text(k)) for k in range(60)], "page_id long, url string, html string")
+    found = {r["page_id"]: r["language"] for r in cases.collect(language.identify_pages(pages, labelled))}
+    assert np.mean([found[k] == codes[k] for k in range(60)]) > 0.95
+
+
 def test_visible_text():
     page = b"a<b>c</b><script>var x='<p>no</p>';</script>d<style>p{}</style><p title='q'>e &eacute;"
     assert language.visible(page).split() == ["a", "c", "d", "e", "é"] or [w.decode() for w in language.visible(page).split()] == ["a", "c", "d", "e", "é"]
