@@ -99,4 +99,4 @@ def test_the_rest_works_without_the_package(tmp_path):
 
 def test_every_operator_is_registered():
     names = entry.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11)) and "pipeline" in names
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14)) and "pipeline" in names
