@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..operators.joins import is_small
 from ..sources.workspace import store
 from .arrow import as_bytes, slices
 from .columns import neutral
@@ -209,4 +210,14 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, ma
     known = _components(printed.select(key, "_fp"), key, max_bits)
     grouped = printed.select(key, "_fp", "_row").join(known, "_fp").groupBy("_root")
     kept = grouped.agg(F.min(order).alias("_first")).select("_first._row")
-    return back(printed.join(kept, "_row", "left_semi"))
+    return back(_rows_kept(printed, kept))
+
+
+def _rows_kept(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """The ``rows`` whose number ``_row`` is among ``kept``. Numbers of a task follow each other, so those kept are marked by
+    the bits of one long for 64 of them, and the texts need not be shuffled to meet them."""
+    bit = F.col("_row").bitwiseAND(F.lit(63)).cast("int")
+    marks = kept.groupBy(F.shiftright("_row", 6).alias("_word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("_bits"))
+    marks = store(marks, "kept-rows")
+    marked = rows.join(F.broadcast(marks) if is_small(marks) else marks, F.shiftright("_row", 6) == F.col("_word"))
+    return marked.where(F.getbit("_bits", bit) == 1).select(rows.columns)
