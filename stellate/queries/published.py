@@ -130,7 +130,7 @@ def publish_append(spark: SparkSession, sf_dir: str) -> DataFrame:
        UNION ALL SELECT 'short', count(*), CAST(ceil(count(*) / 5000.0) AS BIGINT) FROM lineitem"""
 )
 def file_control(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table in four files, and in one task's files of at most 5,000 rows."""
+    """A table in four files, and in as few files of at most 5,000 rows as hold it."""
     four, short, lines = new_dir(spark, "four"), new_dir(spark, "short"), table(spark, sf_dir, "lineitem")
     sinks.publish(lines, four, n_files=4)
     sinks.publish(lines, short, n_files=1, max_records_per_file=5000)

@@ -71,6 +71,54 @@ def test_file_control(spark, tmp_path):
         sinks.publish(df, str(tmp_path / "x"), n_files=1, cluster_by=["c"])
 
 
+def test_full_files_by_many_tasks(spark, tmp_path):
+    """Files that are cut by rows need no task that reads the whole table."""
+    df = spark.range(0, 5_003, numPartitions=7).where("id % 7 <> 3").withColumn("file_number", F.lit("x"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one task's
+    try:
+        sinks.publish(df, str(tmp_path / "m"), n_files=1, max_records_per_file=100)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    stored = spark.read.parquet(str(tmp_path / "m"))
+    sizes = sorted(r["count"] for r in stored.groupBy(F.input_file_name()).count().collect())
+    assert len(sizes) == -(-df.count() // 100) and set(sizes[1:]) == {100}
+    tasks = {name.rsplit("/", 1)[1].split("-")[1] for name in stored.inputFiles()}
+    assert len(tasks) > 1
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, df.collect()))
+    sinks.publish(df.limit(0), str(tmp_path / "e"), n_files=1, max_records_per_file=100)
+    assert spark.read.parquet(str(tmp_path / "e")).count() == 0
+
+
+def test_some_files_without_a_shuffle(spark, tmp_path):
+    df = spark.range(0, 1_001, numPartitions=7).withColumn("file_number", F.col("id") % 3)
+    dealt = sinks._gathered(df, 4, str(tmp_path / "work"))
+    assert "Exchange" not in dealt._jdf.queryExecution().executedPlan().toString()
+    assert dealt.rdd.getNumPartitions() == 4
+    sinks.publish(df, str(tmp_path / "n"), n_files=4)
+    stored = spark.read.parquet(str(tmp_path / "n"))
+    sizes = sorted(r["count"] for r in stored.groupBy(F.input_file_name()).count().collect())
+    assert len(sizes) == 4 and sizes[-1] - sizes[0] <= 7
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, df.collect()))
+    sinks.publish(df.limit(0), str(tmp_path / "e"), n_files=4)
+    assert spark.read.parquet(str(tmp_path / "e")).count() == 0
+
+
+def test_tables_published_together(spark, tmp_path):
+    """Each is made only when the others are under way; a failure is raised."""
+    import threading
+
+    meet = threading.Barrier(3)
+
+    def make(n):
+        meet.wait(60)
+        return spark.range(n)
+
+    sinks.publish_together({str(tmp_path / str(n)): lambda n=n: make(n) for n in (3, 4, 5)})
+    assert [spark.read.parquet(str(tmp_path / str(n))).count() for n in (3, 4, 5)] == [3, 4, 5]
+    with pytest.raises(ZeroDivisionError):
+        sinks.publish_together({str(tmp_path / "a"): lambda: spark.range(1), str(tmp_path / "b"): lambda: 1 / 0})
+
+
 def test_append(spark, tmp_path):
     for _ in range(2):
         sinks.publish(spark.range(3), str(tmp_path / "t"), mode="append")
