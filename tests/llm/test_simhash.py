@@ -122,3 +122,13 @@ def test_no_pair_of_rows_leaves_a_task(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("the very same text for all").alias("text"))
     out = simhash.near_duplicates(docs)
     assert out.where("component_id = 0").count() == 3000
+
+
+def test_rows_are_dropped_without_a_shuffle_of_them(spark):
+    rows = spark.range(0, 1_000, numPartitions=5).selectExpr("id", "monotonically_increasing_id() AS _row", "repeat('x', 100) AS text")
+    rows = simhash.store(rows, "rows")
+    kept = rows.where("id % 7 = 3 OR id BETWEEN 100 AND 300")
+    left = simhash._rows_kept(rows, kept.select("_row"))
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert sorted(map(tuple, left.collect())) == sorted(map(tuple, kept.collect()))
